@@ -38,5 +38,38 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_byte_bpe, op4_token_files)}
+#: Fixed values of the query's contract.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import url_filter
+
+    return url_filter(spark, _table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .knn import voronoi_knn
+
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(x * 1024).cast("double"))
+    usable = F.forall(F.col("embedding"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = _table(spark, sf_dir, "embeddings").where(usable).select(F.col("vec_id").alias("id"), whole.alias("v"))
+    return voronoi_knn(spark, rows, rows.where("id % 100 = 0"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embed_dedup import embedding_dedup
+
+    return embedding_dedup(spark, _table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_byte_bpe, op4_token_files, op5_url_filter, op6_topk_search, op8_toxicity, op9_embedding_dedup)}
 ORACLES: dict[str, str] = {}
