@@ -71,5 +71,33 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(spark, _table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_byte_bpe, op4_token_files, op5_url_filter, op6_topk_search, op8_toxicity, op9_embedding_dedup)}
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .line_dedup import digest, line_dedup
+
+    out = line_dedup(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_removed", digest(F.col("text")).alias("kept_sha256"))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import ngram_groups
+
+    return ngram_groups(spark, _table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op3_byte_bpe,
+        op4_token_files,
+        op5_url_filter,
+        op6_topk_search,
+        op7_line_dedup,
+        op8_toxicity,
+        op9_embedding_dedup,
+        op10_ngram_join,
+    )
+}
 ORACLES: dict[str, str] = {}
