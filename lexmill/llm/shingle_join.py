@@ -48,7 +48,6 @@ class ShingleJoin:
             total = np.zeros(CLASSES, np.int64)
             names = ["row", "line", "n", "sig", "counts"]
             for batch in batches:
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
                 data, offsets = buffers(batch.column(1))
                 for a, b in chunks(offsets):
                     rows, number, unit, tokens = units(data, offsets[a : b + 1], lines, width)
@@ -56,7 +55,7 @@ class ShingleJoin:
                     u, t, _ = distinct(unit, tokens)
                     n, sig = signatures(u, t, len(rows))
                     m = len(rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[a + rows], pa.int64()), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig), pa.nulls(m, pa.binary())], names)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(a + rows)), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig), pa.nulls(m, pa.binary())], names)
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([total.tobytes()], pa.binary())], names)
 
         both = self.scratch.keep(self.docs.mapInArrow(work, "row long, line int, n int, sig long, counts binary"), "units")
