@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .vocab import _BYTE_CUT, _UNSAFE
 
 #: Distinct pieces kept by a worker, and pieces given to one recursive query.
-MAX_WORDS = 600_000
+MAX_WORDS = 1_500_000
 QUERY_WORDS = 40_000
 #: Texts whose new pieces are gathered for one round of queries.
 ROWS = 4000

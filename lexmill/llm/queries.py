@@ -21,6 +21,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(spark, _table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import suffix_dedup
+
+    return suffix_dedup(spark, _table(spark, sf_dir, "documents"), digest=True)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -90,6 +96,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
+        op2_suffix_dedup,
         op3_byte_bpe,
         op4_token_files,
         op5_url_filter,
