@@ -85,28 +85,24 @@ class RankFile:
         return out
 
 
-#: Rows that take part in the next step carry their piece; a finished piece leaves the recursion as it is.
+#: A piece between two steps is its list of tokens; a step unrolls it to (piece, position, token, right neighbour) rows.  A piece
+#: that no pair of could be merged leaves the recursion.
 _RECURSIVE = """
-with recursive step(w, pos, tok, live) as (
-    select w, pos, tok, true from start
+with recursive step(w, toks, live) as (
+    select w, list(tok order by pos), true from start group by w
     union all
-    select w, pos, coalesce(merged, tok), best is not null
-    from (
-        select w, pos, tok, best, case when pos = best_pos then new_tok end as merged,
-               lag(pos) over (partition by w order by pos) is not distinct from best_pos and best is not null as eaten
+    select s.w, case when best.w is null then s.toks else list_concat(s.toks[:best.p - 1], [best.tok], s.toks[best.p + 2:]) end, best.w is not null
+    from (select * from step where live) s
+    left join (
+        select pair.w, min(m.rank) as tok, arg_min(pair.p, m.rank::bigint << 32 | pair.p) as p
         from (
-            select *, min(rank) over (partition by w) as best,
-                   min(case when rank is not null then rank::bigint << 32 | pos end) over (partition by w) & 4294967295 as best_pos
-            from (
-                select t.w, t.pos, t.tok, m.rank, m.rank as new_tok
-                from (select w, pos, tok, lead(tok) over (partition by w order by pos) as nxt from step where live) t
-                left join merges m on m.l = t.tok and m.r = t.nxt
-            )
-        )
-    )
-    where not eaten
+            select w, unnest(range(1, len(toks))) as p, unnest(toks[:-2]) as l, unnest(toks[2:]) as r from step where live
+        ) pair
+        join merges m on m.l = pair.l and m.r = pair.r
+        group by pair.w
+    ) best on best.w = s.w
 )
-select w, list(tok order by pos) as ids from step where not live group by w
+select w, toks as ids from step where not live
 """
 
 _FILES: dict[str, RankFile] = {}
