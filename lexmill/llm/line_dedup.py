@@ -2,8 +2,8 @@
 
 A line's tokens are its distinct 5-word shingles (a shorter line is one shingle), ordered by rarity over the whole
 corpus; prefix, positional and length filters give candidates, exact Jaccard >= 0.75 decides (see
-``shingle_join``).  A line is removed if a line before it, in (doc_id, line number) order, is that similar; equal
-lines are similar.  Lines without words stay.
+``shingle_join``).  Matches join lines to groups, equal lines among them; of a group the first line in (doc_id, line
+number) order stays and all later ones are removed.  Lines without words stay.
 
 Defined results: a null text has no line and stays null; an empty text is one empty line; repeated doc_ids are ordered by
 the hash of their text and then taken as one document's copies, so that of repeated rows the first keeps its lines; rows
@@ -19,49 +19,22 @@ from pyspark.sql import functions as F
 from .shingle_join import ShingleJoin
 
 
-def removed_lines(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> tuple[DataFrame, ShingleJoin]:
+def removed_lines(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """docs: (row long, unique and ascending in reading order; text) -> (row, line) of every line to remove."""
-    join = ShingleJoin(spark, docs, lines=True, percent=percent, width=width)
+    join = ShingleJoin(spark, docs, lines=True, percent=percent, width=width, extra=16)
     scratch = join.scratch
     lines = join.count().where("n > 0")
-    sets = lines.groupBy("sig").agg(F.min(F.struct("row", "line")).alias("ord"), F.count("*").alias("copies"))
+    sets = lines.groupBy("sig").agg(F.min(F.struct("row", "line")).alias("ord"), F.count("*").alias("copies"), F.first("n").alias("n"))
     sets = scratch.keep(sets, "sets")
-    flat = join.lists()
-    flat = scratch.keep(flat.join(sets.select("sig", "ord"), "sig"), "members")
+    flat = join.enough(join.lists().join(sets.select("sig", "ord", "n"), "sig"))
     join.sets(flat.select("sig", "ord.row", "ord.line").distinct())
-
-    # every line against the first line of its lists
-    lead = flat.groupBy("lh").agg(F.min(F.struct("ord", "sig")).alias("lead"))
-    first = flat.join(lead, "lh").where("lead.sig <> sig").groupBy("sig").agg(F.min("lead").alias("lead"))
-    tried = join.verify(first.select(F.col("lead.sig").alias("a"), F.col("sig").alias("b")), "leaders")
-    good = tried.where(join.at_least(percent)).select("a", "b")
-    short = join.combine(flat).join(sets.select("sig", "ord"), "sig")
-    side = short.join(good.select(F.col("b").alias("sig"), F.col("a").alias("centre")), "sig", "left")
-    side = scratch.keep(side.select("lh", "sig", "ord", F.col("centre").isNotNull().alias("gone"), F.coalesce("centre", "sig").alias("centre")), "centred")
-
-    # lines still there against the leaders of earlier members of their lists
-    kept = side.where("not gone").select("lh", F.col("sig").alias("x"), F.col("ord").alias("x_ord"))
-    centres = side.groupBy("lh", "centre").agg(F.min("ord").alias("ord"))
-    pairs = kept.join(centres, "lh").where("centre <> x and ord < x_ord").select(F.col("centre").alias("a"), F.col("x").alias("b")).distinct()
-    met = join.verify(pairs, "between")
-    more = met.where(join.at_least(percent)).select("a", "b")
-    gone = good.select("b").unionByName(more.select("b")).distinct()
-    maybe = met.where(join.at_least(join.near) & ~join.at_least(percent)).select("a", "b").join(gone, "b", "left_anti")
-    maybe = scratch.keep(maybe, "open")
-    if maybe.limit(1).count():
-        rest = (
-            maybe.join(kept.select("lh", F.col("x").alias("b"), "x_ord"), "b")
-            .join(side.select("lh", F.col("centre").alias("a"), F.col("sig").alias("y"), "ord"), ["lh", "a"])
-            .where("y <> a and y <> b and ord < x_ord")
-            .select(F.col("y").alias("a"), "b")
-            .distinct()
-        )
-        last = join.verify(rest, "rest")
-        gone = gone.unionByName(last.where(join.at_least(percent)).select("b")).distinct()
-    similar = gone.select(F.col("b").alias("sig"), F.lit(True).alias("all"))
-    marked = lines.join(sets.where("copies > 1").select("sig", "ord"), "sig", "left").join(similar, "sig", "left")
-    later = F.coalesce("all", F.lit(False)) | F.coalesce(F.struct("row", "line") != F.col("ord"), F.lit(False))
-    return scratch.keep(marked.where(later).select("row", "line"), "removed"), join
+    comp = join.groups(flat).withColumnRenamed("id", "sig")
+    comp = comp.unionByName(comp.select(F.col("component").alias("sig"), "component").distinct())
+    # only the first line of a group of several sets, or of several equal lines, stays
+    named = sets.join(comp, "sig", "left").where("component is not null or copies > 1").withColumn("component", F.coalesce("component", "sig"))
+    firsts = named.groupBy("component").agg(F.min("ord").alias("first"))
+    named = named.join(firsts, "component").select("sig", "first")
+    return lines.join(named, "sig").where(F.struct("row", "line") != F.col("first")).select("row", "line")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
@@ -70,7 +43,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, percent: int = 75, width: i
 
     scratch = Scratch(spark, "line-rows")
     numbered, rows = with_rows(scratch, docs)
-    gone, _ = removed_lines(spark, rows, percent, width)
+    gone = removed_lines(spark, rows, percent, width)
     by_row = gone.groupBy("row").agg(F.collect_set("line").alias("__gone"))
     joined = numbered.join(by_row, "row", "left").drop("row")
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]

@@ -14,71 +14,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components
 from .shingle_join import ShingleJoin
 
 
 def ngram_groups(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("row"), F.col("text").cast("string").alias("text"))
-    join = ShingleJoin(spark, rows, lines=False, percent=percent, width=width)
+    join = ShingleJoin(spark, rows, lines=False, percent=percent, width=width, extra=8)
     scratch = join.scratch
     all_units = join.count().select("row", "n", "sig")
     sets = all_units.where("n > 0 and row is not null").groupBy("sig").agg(F.min("row").alias("ord"), F.first("n").alias("n"))
     sets = scratch.keep(sets, "sets")
-    flat = join.lists()
-    flat = scratch.keep(flat.join(sets.select("sig", "ord"), "sig"), "members")
+    flat = join.enough(join.lists().join(sets, "sig"))
     join.sets(flat.select("sig", F.col("ord").alias("row")).distinct().withColumn("line", F.lit(0)))
-
-    # every set against the leader (smallest document) of its lists
-    lead = flat.groupBy("lh").agg(F.min(F.struct("ord", "sig")).alias("lead"))
-    first = flat.join(lead, "lh").where("lead.sig <> sig").groupBy("sig").agg(F.min("lead").alias("lead"))
-    tried = join.verify(first.select(F.col("lead.sig").alias("a"), F.col("sig").alias("b")), "leaders")
-    good = tried.where(join.at_least(percent)).select("a", "b")
-    short = join.combine(flat)
-    centred = short.join(good.select(F.col("b").alias("sig"), F.col("a").alias("centre")), "sig", "left")
-    centred = scratch.keep(centred.select("lh", "sig", F.coalesce("centre", "sig").alias("centre")), "centred")
-
-    # leaders that share a list
-    lists = centred.groupBy("lh").agg(F.sort_array(F.collect_set("centre")).alias("c")).where(F.size("c") > 1)
-    lists = lists.groupBy("c").count().select("c")
-    one = lists.select("c", F.posexplode("c").alias("i", "a"))
-    between = one.select("a", F.explode(F.expr("slice(c, i + 2, size(c))")).alias("b")).distinct()
-    met = join.verify(between, "between")
-    links = good.unionByName(met.where(join.at_least(percent)).select("a", "b"))
-    comp = scratch.keep(components(spark, links, scratch), "comp")
-
-    # what the metric leaves open between groups that aren't connected
-    def group_of(df: DataFrame, col: str) -> DataFrame:
-        return df.join(comp.select(F.col("id").alias(col), F.col("component").alias(f"g_{col}")), col, "left").withColumn(f"g_{col}", F.coalesce(f"g_{col}", col))
-
-    maybe = met.where(join.at_least(join.leaders_near) & ~join.at_least(percent)).select("a", "b")
-    maybe = group_of(group_of(maybe, "a"), "b").where("g_a <> g_b").select("a", "b")
-    maybe = scratch.keep(maybe, "open")
-    if maybe.limit(1).count():
-        side = centred.select("lh", "sig", "centre")
-        pairs = (
-            maybe.join(side.select(F.col("centre").alias("a"), "lh", F.col("sig").alias("x")), "a")
-            .join(side.select(F.col("centre").alias("b"), "lh", F.col("sig").alias("y")), ["lh", "b"])
-            .select("a", "b", "x", "y")
-        )
-        # a member against the other leader first; only members near it go on
-        cross = pairs.where("x <> a").select(F.col("x").alias("a"), "b").unionByName(pairs.where("y <> b").select("a", F.col("y").alias("b"))).distinct()
-        crossed = join.verify(cross, "cross")
-        links = links.unionByName(crossed.where(join.at_least(percent)).select("a", "b"))
-        comp = scratch.keep(components(spark, links, scratch), "comp")
-        near = crossed.where(join.at_least(join.near)).select("a", "b")
-        rest = (
-            pairs.where("x <> a and y <> b")
-            .join(near.select(F.col("a").alias("x"), "b"), ["x", "b"], "left_semi")
-            .join(near.select("a", F.col("b").alias("y")), ["a", "y"], "left_semi")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .distinct()
-        )
-        rest = group_of(group_of(rest, "a"), "b").where("g_a <> g_b").select("a", "b")
-        last = join.verify(rest, "rest")
-        links = links.unionByName(last.where(join.at_least(percent)).select("a", "b"))
-        comp = scratch.keep(components(spark, links, scratch), "comp")
+    comp = join.groups(flat)
 
     # smallest document of each group of sets, then of each document
     named = sets.join(comp.select(F.col("id").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))

@@ -4,8 +4,9 @@ Shared by the document join and the line join.  Steps:
 
 1. Count: one pass adds up shingle counts in ``CLASSES`` hash classes over all texts (bounded, and the same for any
    input size).  The global order is (class count, hash), so rare shingles come first whatever the corpus.
-2. Prefix: a set of n shingles posts its first n - ceil(t n) + k of that order.  Two sets with Jaccard >= t share
-   at least k posted shingles.  Postings leave a task as packed blocks dealt by shingle hash; shingles of very
+2. Prefix: a set of n shingles posts its first n - ceil(t n) + k of that order, k = max(2, n // ``extra``).  Two sets
+   with Jaccard >= t share at least the smaller k of posted shingles, so a set that shares fewer with all others
+   together links with nothing and goes.  Postings leave a task as packed blocks dealt by shingle hash; shingles of very
    frequent classes are dealt by set as well, so no block gathers a hot shingle.
 3. Lists: a block is sorted once; shingles with two or more sets become member lists, pairs that the length or
    positional filter rules out go, and equal lists collapse.
@@ -23,20 +24,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, shuffle_partitions
+from .common import Scratch, components, shuffle_partitions
 from .shingles import buffers, chunks, distinct, mix, signatures, units
 
 CLASSES = 1 << 16
 LONG_LIST = 128
-#: Combination tokens posted beyond the plain prefix, plus one.
+#: Buckets of the histogram that bounds an overlap, for documents and for lines.
+BINS = (256, 32)
+#: Shingles that two linked sets of two or more share among those posted, at least.
 K = 2
 
 
 class ShingleJoin:
     """One corpus (``row`` long, ``text`` string) cut into units, ready to be joined with itself."""
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, lines: bool, percent: int = 75, width: int = 5):
+    def __init__(self, spark: SparkSession, docs: DataFrame, lines: bool, percent: int = 75, width: int = 5, extra: int | None = None):
         self.spark, self.docs, self.lines, self.percent, self.width = spark, docs.select("row", "text"), lines, percent, width
+        self.extra = extra or 1 << 30
+        self.bins = BINS[lines]
         self.scratch = Scratch(spark, "lines" if lines else "ngrams")
 
     # 1 ---------------------------------------------------------------------------------------------------------
@@ -82,8 +87,9 @@ class ShingleJoin:
     # 2, 3 ------------------------------------------------------------------------------------------------------
     def lists(self) -> DataFrame:
         """Distinct member lists: lh long, size int, mult long, sigs array<long>."""
-        lines, width, percent = self.lines, self.width, self.percent
+        lines, width, percent, extra = self.lines, self.width, self.percent, self.extra
         spark = self.spark
+        filters = lines  # postings of lines carry what the length and positional filters need
         ranks, hot = self.ranks, self.hot
         n_blocks = 2 * shuffle_partitions(spark)
 
@@ -106,7 +112,7 @@ class ShingleJoin:
                             if len(seen) < 500_000:
                                 seen.add(s)
                     need = -(-percent * n // 100)
-                    prefix = np.minimum(n, n - need + K)
+                    prefix = np.minimum(n, n - need + np.maximum(K, n // extra))
                     first = np.cumsum(n) - n
                     place = np.arange(len(u)) - first[u]
                     keep = (place < prefix[u]) & fresh[u]
@@ -123,31 +129,35 @@ class ShingleJoin:
                 t32, sig, n, place = (t[order] >> np.uint64(32)).astype(np.uint32), sig[order], n[order], place[order]
                 lo = np.concatenate([[0], cuts]) if len(block) else np.zeros(0, int)
                 hi = np.concatenate([cuts, [len(block)]]) if len(block) else lo
-                blobs = [np.concatenate([t32[i:j].view(np.uint8), n[i:j].view(np.uint8), place[i:j].view(np.uint8), sig[i:j].view(np.uint8)]).tobytes() for i, j in zip(lo, hi, strict=True)]
+                fields = [t32, sig, n, place] if filters else [t32, sig]
+                blobs = [b"".join([x[i:j].tobytes() for x in fields]) for i, j in zip(lo, hi, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(block[lo], pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
 
         schema = "lh long, token long, sigs array<long>, mult long"
 
         def gather(table: pa.Table) -> pa.Table:
             block = table.column("block")[0].as_py()
-            parts: list = [[], [], [], []]
+            layout = [(4, np.uint32), (8, np.int64), (2, np.uint16), (2, np.uint16)][: 4 if filters else 2]
+            parts: list = [[] for _ in layout]
             for chunk in table.column("blob").chunks:
                 for x in chunk:
-                    raw = np.frombuffer(x.as_py(), np.uint8)
-                    m = len(raw) // 16
-                    for k, (i, j, kind) in enumerate(((0, 4, np.uint32), (4, 6, np.uint16), (6, 8, np.uint16), (8, 16, np.int64))):
-                        parts[k].append(raw[i * m : j * m].view(kind))
-            t, n, place, sig = (np.concatenate(p) for p in parts)
-            order = np.lexsort((sig, t))
-            t, n, place, sig = t[order], n[order].astype(np.int64), place[order].astype(np.int64), sig[order]
+                    raw = x.as_py()
+                    m, at = len(raw) // sum(w for w, _ in layout), 0
+                    for part, (w, kind) in zip(parts, layout, strict=True):
+                        part.append(np.frombuffer(raw, kind, m, at))
+                        at += w * m
+            fields = [np.concatenate(p) for p in parts]
+            order = np.lexsort((fields[1], fields[0]))
+            t, sig = fields[0][order], fields[1][order]
             fresh = np.ones(len(t), bool)
             fresh[1:] = (t[1:] != t[:-1]) | (sig[1:] != sig[:-1])
-            t, n, place, sig = t[fresh], n[fresh], place[fresh], sig[fresh]
+            t, sig = t[fresh], sig[fresh]
             first = np.concatenate([[0], np.flatnonzero(np.diff(t.astype(np.int64))) + 1])
             size = np.diff(np.append(first, len(t)))
             loose = block >= n_blocks  # a share of a hot shingle's sets: joined by shingle later
             good = size >= (1 if loose else 2)
-            if not loose:  # length and positional filters on lists of two
+            if filters and not loose:  # length and positional filters on lists of two
+                n, place = (x[order][fresh].astype(np.int64) for x in fields[2:])
                 two = np.flatnonzero(size == 2)
                 a, b = first[two], first[two] + 1
                 known = (n[a] < 65535) & (n[b] < 65535)
@@ -177,6 +187,14 @@ class ShingleJoin:
         self.flat = self.scratch.keep(self.flat, "flat")
         return self.flat
 
+    def enough(self, flat: DataFrame) -> DataFrame:
+        """Flat rows (with ``n``) of the sets that share enough posted shingles, and lists that still join two of them."""
+        least = F.greatest(F.lit(K), F.floor(F.floor(F.col("n") * self.percent / 100) / self.extra))
+        shared = flat.groupBy("sig", "n").agg(F.sum("mult").alias("shared")).where(F.col("shared") >= F.least(least, F.col("n"))).select("sig")
+        held = self.scratch.keep(flat.join(shared, "sig", "left_semi").drop("size"), "enough")
+        sizes = held.groupBy("lh").agg(F.count("*").cast("int").alias("size")).where("size > 1")
+        return self.scratch.keep(held.join(sizes, "lh"), "members")
+
     # 4 ---------------------------------------------------------------------------------------------------------
     def combine(self, flat: DataFrame) -> DataFrame:
         """Replace long lists (flat rows lh, size, mult, sig) by lists of the sets that share two of them."""
@@ -192,57 +210,144 @@ class ShingleJoin:
 
     # 5 ---------------------------------------------------------------------------------------------------------
     def sets(self, wanted: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
-        """Shingle sets (sig, n, tokens binary) of wanted units (sig, row, line), read again from the texts."""
+        """Shingle sets (sig, n, tokens, bins: histogram of hash bits) of wanted units (sig, row, line), read again from the texts."""
         lines, width = self.lines, self.width
         by_row = wanted.groupBy("row").agg(F.collect_set("line").alias("lines"))
         by_row = self.scratch.keep(by_row, "wanted")
         few = by_row.count() <= broadcast_rows
         picked = self.docs.join(F.broadcast(by_row) if few else by_row, "row").select("row", "text", "lines")
 
+        n_bins = self.bins
+
         def work(batches):
             for batch in batches:
                 data, offsets = buffers(batch.column(1))
-                asked = [set(x) for x in batch.column(2).to_pylist()]
+                if lines:  # only the wanted lines, as texts of their own
+                    pieces = []
+                    for i, asked in enumerate(batch.column(2).to_pylist()):
+                        text = data[offsets[i] : offsets[i + 1]].tobytes().split(b"\n")
+                        pieces += [text[k] for k in asked]
+                    data, offsets = buffers(pa.array(pieces, pa.large_binary()))
                 for a, b in chunks(offsets):
-                    rows, number, unit, tokens = units(data, offsets[a : b + 1], lines, width)
+                    rows, _, unit, tokens = units(data, offsets[a : b + 1], False, width)
                     u, t, _ = distinct(unit, tokens)
                     n, sig = signatures(u, t, len(rows))
                     ends = np.cumsum(n)
-                    order = np.lexsort((t, u))
-                    t = t[order]
+                    t = t[np.lexsort((t, u))]
+                    bins = ((t >> np.uint64(8)) % np.uint64(n_bins)).astype(np.int64)
                     out: dict[int, tuple] = {}
                     for i in np.flatnonzero(n):
-                        if int(number[i]) in asked[a + rows[i]]:
-                            out[int(sig[i])] = (int(n[i]), t[ends[i] - n[i] : ends[i]].tobytes())
-                    yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array([x[0] for x in out.values()], pa.int32()), pa.array([x[1] for x in out.values()], pa.binary())], ["sig", "n", "tokens"])
+                        own = slice(ends[i] - n[i], ends[i])
+                        histogram = np.minimum(np.bincount(bins[own], minlength=n_bins), 255).astype(np.uint8)
+                        out[int(sig[i])] = (int(n[i]), t[own].tobytes(), histogram.tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array([x[0] for x in out.values()], pa.int32()), pa.array([x[1] for x in out.values()], pa.binary()), pa.array([x[2] for x in out.values()], pa.binary())], ["sig", "n", "tokens", "bins"])
 
-        self.kept_sets = self.scratch.keep(picked.mapInArrow(work, "sig long, n int, tokens binary"), "sets")
+        self.kept_sets = self.scratch.keep(picked.mapInArrow(work, "sig long, n int, tokens binary, bins binary"), "sets")
         return self.kept_sets
 
-    def verify(self, pairs: DataFrame, tag: str) -> DataFrame:
-        """Exact overlap of pairs (a, b) -> a, b, na, nb, common."""
-        left = self.kept_sets.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-        right = self.kept_sets.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    def verify(self, pairs: DataFrame, tag: str, least) -> DataFrame:
+        """Exact overlap of the pairs (a, b) whose Jaccard is ``least`` percent or more -> a, b, na, nb, common.
+
+        A histogram of hash bits of each set bounds the overlap from above; only pairs that pass it meet their
+        whole sets.
+        """
+        side = lambda x, what: self.kept_sets.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col(what).alias(f"t{x}"))
+
+        n_bins = self.bins
+
+        def bound(batches):
+            for batch in batches:
+                x, y = (np.frombuffer(b"".join([v.as_buffer() for v in batch.column(k)]), np.uint8).reshape(batch.num_rows, n_bins) for k in (5, 6))
+                na, nb = batch.column(3).to_numpy().astype(np.int64), batch.column(4).to_numpy().astype(np.int64)
+                common = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                common = np.where(((x == 255) & (y == 255)).any(axis=1), np.minimum(na, nb), np.minimum(common, np.minimum(na, nb)))
+                ok = common * 100.0 >= (na + nb - common) * batch.column(2).to_numpy()
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:3]], ["a", "b", "least"])
 
         def work(batches):
             for batch in batches:
                 common = []
-                for x, y in zip(batch.column(4), batch.column(5), strict=True):
+                for x, y in zip(batch.column(5), batch.column(6), strict=True):
                     x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                     if len(x) > len(y):
                         x, y = y, x
                     at = np.searchsorted(y, x)
                     at[at == len(y)] = 0
                     common.append(int((y[at] == x).sum()) if len(y) else 0)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(common, pa.int64())], ["a", "b", "na", "nb", "common"])
+                common = np.array(common, np.int64)
+                na, nb = batch.column(3).to_numpy().astype(np.int64), batch.column(4).to_numpy().astype(np.int64)
+                ok = pa.array(common * 100.0 >= (na + nb - common) * batch.column(2).to_numpy())
+                cols = [batch.column(k).filter(ok) for k in (0, 1, 3, 4)] + [pa.array(common).filter(ok)]
+                yield pa.RecordBatch.from_arrays(cols, ["a", "b", "na", "nb", "common"])
 
-        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ta", "tb")
+        names = ["a", "b", "least", "na", "nb", "ta", "tb"]
+        pairs = pairs.select("a", "b", least.cast("double").alias("least"))
+        rough = pairs.join(side("b", "bins"), "b").join(side("a", "bins"), "a").select(*names)
+        rough = self.scratch.keep(rough.mapInArrow(bound, "a long, b long, least double"), f"{tag}-bound")
+        joined = rough.join(side("b", "tokens"), "b").join(side("a", "tokens"), "a").select(*names)
         return self.scratch.keep(joined.mapInArrow(work, "a long, b long, na int, nb int, common long"), tag)
 
     def at_least(self, percent: float):
         """Jaccard of a verified pair >= percent / 100."""
         return F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent
 
+    def groups(self, flat: DataFrame) -> DataFrame:
+        """Connected groups of the sets in the members table (lh, sig, n, ord, mult, size) -> (id, component) of sets."""
+        # every set against leaders of its lists: the one with the largest share of shared shingles (an original has few of
+        # its own, its copies have those of their edits), and the first document
+        flat = flat.join(flat.groupBy("sig").agg(F.sum("mult").alias("shared")), "sig").withColumn("own", 1 - F.col("shared") / F.col("n"))
+        lead = flat.groupBy("lh").agg(F.min(F.struct("own", "ord", "sig")).alias("central"), F.min(F.struct("ord", "sig")).alias("early"))
+        near_by = flat.join(lead, "lh").groupBy("sig").agg(F.min(F.struct("central.own", "central.ord", "central.sig")).alias("central"), F.min("early").alias("early"))
+        first = near_by.select(F.col("sig").alias("b"), F.explode(F.array("central.sig", "early.sig")).alias("a")).where("a <> b").distinct()
+        tried = self.verify(first, "leaders", F.lit(self.percent))
+        good = tried.where(self.at_least(self.percent)).select("a", "b")
+        comp = self.scratch.keep(components(self.spark, good, self.scratch), "comp")
+
+        def apart(df: DataFrame, x: str, y: str) -> DataFrame:
+            """Pairs whose ends aren't connected yet."""
+            for c in (x, y):
+                df = df.join(comp.select(F.col("id").alias(c), F.col("component").alias(f"g_{c}")), c, "left").withColumn(f"g_{c}", F.coalesce(f"g_{c}", c))
+            return df.where(F.col(f"g_{x}") != F.col(f"g_{y}")).drop(f"g_{x}", f"g_{y}")
+
+        centre_of = good.groupBy(F.col("b").alias("sig")).agg(F.min("a").alias("centre"))
+        short = self.combine(flat)
+        centred = short.join(centre_of, "sig", "left").select("lh", F.coalesce("centre", "sig").alias("centre")).distinct()
+
+        # leaders that share a list; what must be known of them depends on whether they stand for others
+        named = centred.join(comp.select(F.col("id").alias("centre"), "component"), "centre", "left").withColumn("component", F.coalesce("component", "centre"))
+        lists = named.groupBy("lh").agg(F.sort_array(F.collect_set("centre")).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+        lists = lists.groupBy("c").count().select("c")
+        one = lists.select("c", F.posexplode("c").alias("i", "a"))
+        between = apart(one.select("a", F.explode(F.expr("slice(c, i + 2, size(c))")).alias("b")).distinct(), "a", "b")
+        stands = centre_of.select(F.col("centre").alias("a")).distinct()
+        between = between.join(stands.select("a", F.lit(1).alias("sa")), "a", "left").join(stands.select(F.col("a").alias("b"), F.lit(1).alias("sb")), "b", "left")
+        between = between.select("a", "b", (F.coalesce("sa", F.lit(0)) + F.coalesce("sb", F.lit(0))).alias("stand"))
+        met = self.verify(between, "between", F.when(F.col("stand") == 0, self.percent).when(F.col("stand") == 1, self.near).otherwise(self.leaders_near))
+        links = good.unionByName(met.where(self.at_least(self.percent)).select("a", "b"))
+        comp = self.scratch.keep(components(self.spark, links, self.scratch), "comp")
+
+        # what the metric leaves open between groups that aren't connected: members against the other leader, and only
+        # members near it against each other
+        maybe = self.scratch.keep(apart(met.where(~self.at_least(self.percent)).select("a", "b"), "a", "b"), "open")
+        if maybe.limit(1).count():
+            members = self.scratch.keep(centre_of, "centres")
+            cross = (
+                maybe.join(members.withColumnRenamed("centre", "a"), "a").select(F.col("sig").alias("a"), "b")
+                .unionByName(maybe.join(members.withColumnRenamed("centre", "b"), "b").select("a", F.col("sig").alias("b")))
+                .distinct()
+            )
+            crossed = self.verify(cross, "cross", F.lit(self.near))
+            links = links.unionByName(crossed.where(self.at_least(self.percent)).select("a", "b"))
+            comp = self.scratch.keep(components(self.spark, links, self.scratch), "comp")
+            near = crossed.select("a", "b")
+            left = near.withColumnRenamed("a", "x").join(members.select(F.col("sig").alias("x"), F.col("centre").alias("a")), "x")
+            right = near.withColumnRenamed("b", "y").join(members.select(F.col("sig").alias("y"), F.col("centre").alias("b")), "y")
+            rest = maybe.join(left, ["a", "b"]).join(right, ["a", "b"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
+            last = self.verify(apart(rest, "a", "b"), "rest", F.lit(self.percent))
+            links = links.unionByName(last.where(self.at_least(self.percent)).select("a", "b"))
+            comp = self.scratch.keep(components(self.spark, links, self.scratch), "comp")
+        return comp
+
     @property
     def near(self) -> float:
         """Similarity that whatever links with a member has with the member's leader at least: distance 2(1 - t)."""

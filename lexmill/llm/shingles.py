@@ -23,19 +23,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _U(0x9E3779B97F4A7C55))
-    out[0] = 1
-    return np.cumprod(out)
-
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = mix(_LOWER.astype(np.uint64) * _U(0xD6E8FEB86659FD93) + _U(77))
-_BYTE[_SPACE] = 0
-_POWERS = _powers(1 << 12)
+#: Masks of the first 0 to 8 bytes of a little-endian 64-bit word.
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 _PLACE = mix(np.arange(1, 33, dtype=np.uint64) * _U(0xA24BAED4963EE407)) | _U(1)
 
 
@@ -84,21 +77,25 @@ def units(data: np.ndarray, offsets: np.ndarray, lines: bool, width: int = 5):
     word = ~_SPACE[b]
     fresh = np.empty(len(b), bool)
     fresh[0] = True
-    fresh[1:] = ~word[:-1]
-    cut = row_at[row_at < len(b)]
-    fresh[cut] = True
+    np.logical_not(word[:-1], out=fresh[1:])
+    fresh[row_at[row_at < len(b)]] = True
     starts = np.flatnonzero(word & fresh)
     if not len(starts):
         return rows, number, *none
-    spans = np.diff(np.append(starts, len(b)))
-    place = np.arange(starts[0], len(b)) - np.repeat(starts, spans)
-    global _POWERS
-    top = int(spans.max())
-    if top > len(_POWERS):
-        powers = _powers(top)
-    else:
-        powers = _POWERS
-    w = mix(np.add.reduceat(_BYTE[b[starts[0] :]] * powers[place], starts - starts[0]))
+    last = np.empty(len(b), bool)
+    last[-1] = True
+    np.logical_or(~word[1:], fresh[1:], out=last[:-1])
+    sizes = np.flatnonzero(word & last) + 1 - starts
+    padded = np.zeros(len(b) + 8, np.uint8)
+    padded[:-8] = _LOWER[b]
+    eight = np.ndarray((len(b) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from any place
+    w = mix((eight[starts] & _MASK[np.minimum(sizes, 8)]) + sizes.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    more, at = np.flatnonzero(sizes > 8), 8
+    while len(more):
+        part = eight[starts[more] + at] & _MASK[np.minimum(sizes[more] - at, 8)]
+        w[more] = mix(w[more] * _U(0xA0761D6478BD642F) + part)
+        at += 8
+        more = more[sizes[more] > at]
     unit = np.searchsorted(begins, starts, "right") - 1
     per = np.bincount(unit, minlength=len(rows))
     ends = np.cumsum(per)

@@ -12,7 +12,7 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
    successors do, so the matching statistics of all positions stream out of the run ends: at position i they are
    those of the nearest sampled position j <= i, less i - j.  Matches long enough to hold a window mark its bytes.
    The bytes that all members of a group share (the anchor, and more after a split) are one symbol in the index.
-4. Groups too large for a block are split by window place: the left and the right half of the places share
+4. Groups too large for a block are split by window place: the lower and the upper half of the places share
    more bytes, so each half falls apart by those bytes, equal contexts collapse again, and what is left is
    indexed.  After at most nine splits a group is a single window place, whose members are equal windows.
 
@@ -35,6 +35,8 @@ from .shingles import buffers, mix
 
 _U = np.uint64
 GRAM = 24
+#: Parts of the window places that contexts are grouped by.
+PARTS = 4
 #: Most bytes of flanks that one index holds.
 INDEX_BYTES = 3 << 20
 #: Windows scanned at once in very long texts.
@@ -82,11 +84,16 @@ def anchors(b: np.ndarray, prefix: np.ndarray, inverse: np.ndarray, length: int,
     return at, h[at]
 
 
+def parts(w: int) -> list[tuple[int, int]]:
+    """Places of an anchor in a window (bytes to its left, 0 to w), in equal parts."""
+    edges = [w * k // PARTS for k in range(PARTS + 1)]
+    return [(edges[k] + (k > 0), edges[k + 1]) for k in range(PARTS)]
+
+
 def scan(b: np.ndarray, length: int, gram: int, segment: int = SEGMENT):
-    """Anchors of one text with their contexts: position, anchor hash, bytes left and right, context hash, and the hashes
-    of the bytes that every window in the lower (upper) half of the places holds to the right (left)."""
+    """Anchors of one text with their contexts: position, anchor hash, bytes left and right, context hash, and for each
+    part of the window places the hash of the bytes that all its windows hold."""
     n, w = len(b), length - gram
-    half = w // 2
     found = []
     for s in range(0, max(1, n - length + 1), segment):
         e = min(n - length + 1, s + segment)
@@ -100,12 +107,11 @@ def scan(b: np.ndarray, length: int, gram: int, segment: int = SEGMENT):
         left, right = np.minimum(at + lo, w), np.minimum(n - (at + lo) - gram, w)
         ctx = range_hash(prefix, inverse, at - left, at + gram + right)
         ctx = mix(ctx ^ (left.astype(np.uint64) << _U(32)))
-        r = range_hash(prefix, inverse, at + gram, np.minimum(at + gram + w - half, len(part)))
-        q = range_hash(prefix, inverse, np.maximum(at - half - 1, 0), at)
-        found.append((at + lo, h, left, right, ctx, q, r))
+        shared = [range_hash(prefix, inverse, np.maximum(at - a, 0), np.minimum(at + gram + w - z, len(part))) for a, z in parts(w)]
+        found.append((at + lo, h, left, right, ctx, *shared))
     if not found:
         z = np.zeros(0, np.int64)
-        return z, z.astype(np.uint64), z, z, z.astype(np.uint64), z.astype(np.uint64), z.astype(np.uint64)
+        return z, z.astype(np.uint64), z, z, *[z.astype(np.uint64)] * (1 + PARTS)
     out = [np.concatenate(x) for x in zip(*found, strict=True)]
     if len(found) > 1:
         _, one = np.unique(out[0], return_index=True)
@@ -135,10 +141,23 @@ class RunIndex:
     def __init__(self, text: np.ndarray):
         n = len(text)
         self.text, self.n = text, n
-        rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
+        rank = text.astype(np.int64)
         self.levels, self.steps = [rank.astype(np.int32)], [1]
         step = 1
-        order = np.argsort(rank, kind="stable")
+        bits = int(rank.max() + 1).bit_length()
+        if n > 4 and 4 * bits <= 62:  # four symbols at once
+            key = np.zeros(n + 3, np.int64)
+            key[:n] = rank + 1
+            key = (((key[:n] << bits | key[1 : n + 1]) << bits | key[2 : n + 2]) << bits) | key[3 : n + 3]
+            order = np.argsort(key)
+            key = key[order]
+            fresh = np.zeros(n, np.int64)
+            np.cumsum(key[1:] != key[:-1], out=fresh[1:])
+            rank = np.empty(n, np.int64)
+            rank[order] = fresh
+            step = 4
+            self.levels.append(rank.astype(np.int32))
+            self.steps.append(step)
         while True:
             key = rank * (n + 1)
             key[: n - step] += rank[step:] + 1
@@ -175,7 +194,7 @@ class RunIndex:
                 out[same] += step
                 i[same] += step
                 j[same] += step
-                if step != self.steps[-1]:
+                if step not in (1, self.steps[-1]):
                     break
         return out
 
@@ -231,7 +250,6 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = 400, gram
     scratch = Scratch(spark, "repeats")
     docs = docs.select("row", "text")
     w = length - gram
-    half = w // 2
 
     def anchor_rows(batches):
         for batch in batches:
@@ -243,25 +261,23 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = 400, gram
                 owners.append(np.full(len(got[0]), i))
             if not outs:
                 continue
-            at, h, left, right, ctx, q, r = (np.concatenate(x) for x in zip(*outs, strict=True))
+            at, h, left, right, ctx, *shared = (np.concatenate(x) for x in zip(*outs, strict=True))
             rows = batch.column(0).take(pa.array(np.concatenate(owners)))
             cols = [pa.array(h.view(np.int64)), rows, pa.array(at, pa.int64()), pa.array(left, pa.int32()), pa.array(right, pa.int32()), pa.array(ctx.view(np.int64))]
-            cols += [pa.array(q.view(np.int64), mask=left < half + 1), pa.array(r.view(np.int64), mask=right < w - half)]
-            yield pa.RecordBatch.from_arrays(cols, ["h", "row", "pos", "l", "r", "ctx", "hl", "hr"])
+            cols += [pa.array(x.view(np.int64), mask=(left < a) | (right < w - b)) for x, (a, b) in zip(shared, parts(w), strict=True)]
+            yield pa.RecordBatch.from_arrays(cols, ["h", "row", "pos", "l", "r", "ctx", *keys])
 
-    seen = scratch.keep(docs.mapInArrow(anchor_rows, "h long, row long, pos long, l int, r int, ctx long, hl long, hr long"), "anchors")
-    contexts = seen.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("one"), F.first("l").alias("l"), F.first("r").alias("r"), F.first("hl").alias("hl"), F.first("hr").alias("hr"))
+    keys = [f"p{k}" for k in range(PARTS)]
+    seen = scratch.keep(docs.mapInArrow(anchor_rows, "h long, row long, pos long, l int, r int, ctx long, " + ", ".join(f"{k} long" for k in keys)), "anchors")
+    contexts = seen.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("one"), *[F.first(k).alias(k) for k in keys])
     met = contexts.groupBy("h").agg(F.sum("n").alias("met")).where("met > 1").select("h")
     contexts = scratch.keep(contexts.join(met, "h", "left_semi"), "contexts")
     # contexts that repeat as a whole
     whole = seen.select("h", "ctx", "row", "pos", "l", "r").join(contexts.where("n > 1").select("h", "ctx"), ["h", "ctx"], "left_semi")
     spans = [whole.select("row", (F.col("pos") - F.col("l")).alias("lo"), (F.col("pos") + gram + F.col("r")).alias("hi"))]
-    # the others by halves of the window places
-    halves = F.array(
-        F.when(F.col("hr").isNotNull(), F.struct(F.xxhash64("h", "hr", F.lit(0)).alias("g"), F.lit(0).alias("lo"), F.lit(half).alias("hi"))),
-        F.when(F.col("hl").isNotNull(), F.struct(F.xxhash64("h", "hl", F.lit(1)).alias("g"), F.lit(half + 1).alias("lo"), F.lit(w).alias("hi"))),
-    )
-    split = contexts.select(F.explode(halves).alias("x"), F.col("one.row").alias("row"), F.col("one.pos").alias("pos"), (F.col("n") == 1).alias("need")).where("x is not null")
+    # the others by parts of the window places
+    groups = F.array(*[F.when(F.col(k).isNotNull(), F.struct(F.xxhash64("h", k, F.lit(i)).alias("g"), F.lit(a).alias("lo"), F.lit(b).alias("hi"))) for i, (k, (a, b)) in enumerate(zip(keys, parts(w), strict=True))])
+    split = contexts.select(F.explode(groups).alias("x"), F.col("one.row").alias("row"), F.col("one.pos").alias("pos"), (F.col("n") == 1).alias("need")).where("x is not null")
     split = split.select(F.col("x.g").alias("g"), F.col("x.lo").alias("a"), F.col("x.hi").alias("b"), "row", "pos", "need")
     live = split.groupBy("g").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n > 1 and need").select("g")
     split = scratch.keep(split.join(live, "g", "left_semi"), "split")

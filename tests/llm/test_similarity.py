@@ -25,6 +25,10 @@ def similar(a, b, percent=75):
 
 
 def brute_groups(docs):
+    return sorted(brute_groups_of(docs))
+
+
+def brute_groups_of(docs):
     sets = [shingles(t) for _, t in docs]
     group = list(range(len(docs)))
 
@@ -40,25 +44,15 @@ def brute_groups(docs):
     least = {}
     for i, (d, _) in enumerate(docs):
         least[root(i)] = min(least.get(root(i), d), d)
-    return sorted((d, len(sets[i]), least[root(i)]) for i, (d, _) in enumerate(docs))
+    return [(d, len(sets[i]), least[root(i)]) for i, (d, _) in enumerate(docs)]
 
 
 def brute_lines(docs):
-    """Documents in reading order -> kept text."""
-    seen, out = [], []
-    for _, text in docs:
-        if text is None:
-            out.append(None)
-            continue
-        keep = []
-        for line in text.split("\n"):
-            s = shingles(line)
-            if not (s and any(similar(s, x) for x in seen)):
-                keep.append(line)
-            if s:
-                seen.append(s)
-        out.append("\n".join(keep))
-    return out
+    """Documents in reading order -> kept text: of a group of similar lines only the first stays."""
+    lines = [(i, k, line) for i, (_, text) in enumerate(docs) if text is not None for k, line in enumerate(text.split("\n"))]
+    first = {n: c for n, _, c in brute_groups_of([(n, line) for n, (_, _, line) in enumerate(lines)])}
+    keep = {(i, k) for n, (i, k, _) in enumerate(lines) if first[n] == n}
+    return [None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if (i, k) in keep) for i, (_, text) in enumerate(docs)]
 
 
 def edited(rng, words, rate):
