@@ -10,6 +10,20 @@ import pytest
 from lexmill.llm.suffix_dedup import RunIndex, suffix_dedup
 
 
+def brute_kept(docs, length):
+    """Kept text of each document (null stays null)."""
+    raws = [(t or "").encode() for _, t in docs]
+    seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
+    out = []
+    for (_, t), r in zip(docs, raws, strict=True):
+        gone = bytearray(len(r))
+        for i in range(len(r) - length + 1):
+            if seen[r[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        out.append(None if t is None else bytes(x for x, g in zip(r, gone, strict=True) if not g).decode("utf-8", "ignore"))
+    return out
+
+
 def brute(docs, length):
     raws = [(t or "").encode() for _, t in docs]
     seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
