@@ -107,4 +107,26 @@ QUERIES = {
         op10_ngram_join,
     )
 }
-ORACLES: dict[str, str] = {}
+#: SQL for what SQL can say on whole tables; the other operators are held against brute force in the tests.
+ORACLES: dict[str, str] = {
+    "op6_topk_search": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
+            where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), s as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+        )
+        select query_id, rank::int as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 10""",
+    "op9_embedding_dedup": """
+        with recursive v as (
+            select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
+            where label is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links as (
+            select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id where len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.98
+        ), reach as (
+            select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b
+        )
+        select e.vec_id, (select count(*) from links where a = e.vec_id) as n_links,
+            least(e.vec_id, coalesce((select min(b) from reach where a = e.vec_id), e.vec_id)) as component_id,
+            e.vec_id = least(e.vec_id, coalesce((select min(b) from reach where a = e.vec_id), e.vec_id)) as kept from embeddings e""",
+}
