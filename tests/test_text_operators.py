@@ -119,3 +119,49 @@ def test_grids(spark):
 @pytest.mark.parametrize("name,message,want", [("ReadTimeout", "", "transitoire"), ("ValueError", "HTTP 404", "definitive"), ("ValueError", "HTTP 429", "definitive"), ("X", "date de consolidation introuvable", "information_manquante")])
 def test_error_classes(spark, name, message, want):
     assert spark.range(1).select(C.error_class(F.lit(name), F.lit(message))).first()[0] == want
+
+
+def test_chunks_and_manifests(spark, tmp_path):
+    from lexmill.sources import manifest as M
+
+    (tmp_path / "a.jsonl").write_text('{"id": "x/1", "sha256": "s", "statut": "telecharge"}\n\n{"id": "x/2", "sha256": "s"}\n{"id": "x/1", "sha256": "t", "fichier": "f"}\n')
+    entries = M.read(spark, str(tmp_path / "a.jsonl"))
+    assert sorted((r["id"], r["sha256"]) for r in entries.collect()) == [("x/1", "t"), ("x/2", "s")]
+    M.save(entries.drop("manifest"), str(tmp_path / "out"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()][0] == '{"id":"x/1","fichier":"f","sha256":"t"}'
+    M.export(entries.drop("manifest"), str(tmp_path / "by"))
+    assert [r["namespace"] for r in spark.read.json(str(tmp_path / "by")).collect()] == ["x"]
+    (tmp_path / "bin").mkdir()
+    (tmp_path / "bin" / "f.pdf").write_bytes(b"%PDF-1.4")
+    assert M.files(spark, str(tmp_path / "bin")).first()["length"] == 8
+    rows = [(1, 0, "chunk_1_a_2.md", 2, "un"), (1, 1, "chunk_4_a_5.md", 2, "deux"), (2, 0, "x.md", 3, "a"), (2, 1, "y.md", 1, "b")]
+    chunks = M.chunk_offsets(spark.createDataFrame(rows, "d int, upload_no int, name string, n_pages int, content string"), "d")
+    assert sorted((r["d"], r["position"], r["offset"], r["warning"]) for r in chunks.collect()) == [(1, 1, 0, None), (1, 2, 3, "gap"), (2, 1, 0, None), (2, 2, 3, None)]
+    assert M.merge_markdown(chunks.where("d = 1"), "d").first()["text"] == "<!-- chunk chunk_1_a_2.md -->\nun\n\n<!-- chunk chunk_4_a_5.md -->\ndeux"
+
+
+def test_streaming_fold_equals_batch(spark, tmp_path):
+    from lexmill.streaming import jobs as J
+
+    events = [(1, 1, "reserve", 5), (1, 2, "fail", 4), (1, 3, "done", 5), (2, 4, "reserve", 1), (2, 5, "fail", 1), (2, 6, "reserve", 2)]
+    df = spark.createDataFrame(events, "job_id long, seq long, event_kind string, token long")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = J.stream_states(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
+    q = stream.writeStream.format("memory").queryName("states").outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    cols = ["job_id", "status", "attempts", "token", "n_rejected"]
+    got = sorted(tuple(r) for r in spark.table("states").select(*cols).collect())
+    assert got == sorted(tuple(r) for r in J.fold(df, "job_id", "seq").select(*cols).collect()) == [(1, "done", 1, 5, 1), (2, "running", 2, 2, 0)]
+
+
+def test_plans_and_jobs(spark):
+    from lexmill.plans import promotion as P
+    from lexmill.streaming import jobs as J
+
+    names = spark.createDataFrame([("portant sur", 1), ("portant sur les lacs", 2)], "name string, ident int")
+    df = spark.createDataFrame([("Portant SUR LES LACS et",), ("portant sur les mers",), ("autre",)], "label string")
+    assert {r["label"]: r["ident"] for r in P.longest_prefix(df, "label", names, "name", "ident").collect()} == {"Portant SUR LES LACS et": 2, "portant sur les mers": 1, "autre": None}
+    jobs = spark.sql("select * from values (1, 'k', 'pending', timestamp'2020-01-01', timestamp'2020-01-01', '', 0L, 0), (2, 'k', 'running', timestamp'2019-01-01', timestamp'2020-01-01 11:50:00', 'w', 3L, 1), (3, 'k', 'running', timestamp'2018-01-01', timestamp'2020-01-01 11:00:00', 'w', 3L, 1) t(id, kind, status, created_at, locked_at, locked_by, fencing_token, attempts)")
+    out = {r["id"]: r for r in J.reserve(jobs, F.lit("2020-01-01 12:00:00").cast("timestamp"), "me").collect()}
+    assert out[3]["locked_by"] == "me" and out[3]["fencing_token"] == 4 and out[3]["attempts"] == 2 and out[1]["status"] == "pending" and out[2]["locked_by"] == "w"
+    assert {r["id"]: r["status"] for r in J.relaunch(jobs, F.lit(True)).collect()}[1] == "pending"
