@@ -21,7 +21,7 @@ from .shingle_join import ShingleJoin
 
 def removed_lines(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """docs: (row long, unique and ascending in reading order; text) -> (row, line) of every line to remove."""
-    join = ShingleJoin(spark, docs, lines=True, percent=percent, width=width, extra=16)
+    join = ShingleJoin(spark, docs, lines=True, percent=percent, width=width, extra=8)
     scratch = join.scratch
     lines = join.count().where("n > 0")
     sets = lines.groupBy("sig").agg(F.min(F.struct("row", "line")).alias("ord"), F.count("*").alias("copies"), F.first("n").alias("n"))

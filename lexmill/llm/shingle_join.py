@@ -10,25 +10,29 @@ Shared by the document join and the line join.  Steps:
    frequent classes are dealt by set as well, so no block gathers a hot shingle.
 3. Lists: a block is sorted once; shingles with two or more sets become member lists, pairs that the length or
    positional filter rules out go, and equal lists collapse.
-4. Token combinations: lists of more than ``LONG_LIST`` sets are the frequent shingles.  They are replaced by lists of
-   the sets that share two of them (k = 2), rarer shingles stay single.
-5. Verify: exact set overlap.  Every set is first held against the leader of its lists.  Jaccard distance is a
-   metric, so a leader stands for the sets within 1 - t of it: what is farther than 2(1 - t) from a leader links with
-   none of them, and only pairs that this leaves open are compared one by one.
+4. Leaders: exact set overlap, first of every set with the leaders of its lists; sets that link are connected.  What is
+   left are lists with members in different groups.  A linked pair shares k lists, so each set needs only the shortest of
+   its lists but for k - 2 of them (two are left in common), and pairs meet only where sizes and shared shingles allow a link.
+5. Token combinations: lists that still hold more than ``LONG_LIST`` such members are the frequent shingles.  They are
+   replaced by lists of the sets that share two of them, rarer shingles stay single.
+6. Jaccard distance is a metric, so a leader stands for the sets within 1 - t of it: what is farther than 2(1 - t)
+   from a leader links with none of them, and only pairs that this leaves open are compared one by one.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, components, shuffle_partitions
 from .shingles import buffers, chunks, distinct, mix, signatures, units
 
 CLASSES = 1 << 16
-LONG_LIST = 128
+LONG_LIST = 4096
+#: Most sets on one side of a block of two clusters.
+BLOCK_SETS = 4096
 #: Buckets of the histogram that bounds an overlap, for documents and for lines.
 BINS = (256, 32)
 #: Shingles that two linked sets of two or more share among those posted, at least.
@@ -188,25 +192,42 @@ class ShingleJoin:
         return self.flat
 
     def enough(self, flat: DataFrame) -> DataFrame:
-        """Flat rows (with ``n``) of the sets that share enough posted shingles, and lists that still join two of them."""
-        least = F.greatest(F.lit(K), F.floor(F.floor(F.col("n") * self.percent / 100) / self.extra))
-        shared = flat.groupBy("sig", "n").agg(F.sum("mult").alias("shared")).where(F.col("shared") >= F.least(least, F.col("n"))).select("sig")
-        held = self.scratch.keep(flat.join(shared, "sig", "left_semi").drop("size"), "enough")
-        sizes = held.groupBy("lh").agg(F.count("*").cast("int").alias("size")).where("size > 1")
-        return self.scratch.keep(held.join(sizes, "lh"), "members")
+        """Flat rows (with ``n``) of the sets that share enough posted shingles, and lists that still join two of them.
+
+        Adds ``shared`` (posted shingles that some other set posted too) and ``rest`` (t(n) - k(n)).  If all common
+        shingles that x posted are posted by y, the overlap is n_x less the posted shingles that y lacks, so
+        at most shared_x + rest_x; else every posted shingle of y comes before one of x's, and the same holds with
+        rest_y.  So two sets overlap in no more than the smaller ``shared`` and the larger ``rest``.
+        """
+        p = self.percent
+        need = F.ceil(F.col("n") * p / 100)
+        extra = F.greatest(F.lit(K), F.floor(F.col("n") / self.extra))
+        least = F.greatest(F.lit(K), F.floor(F.floor(F.col("n") * p / 100) / self.extra))
+        sums = flat.groupBy("sig", "n").agg(F.sum("mult").alias("shared"))
+        # shingles are posted by 32 bits within a block; leave room for those that fell together
+        room = F.floor((F.col("n") - need + extra) / 2048)
+        good = sums.where(F.col("shared") + room >= F.least(least, F.col("n")))
+        posted = F.least(F.col("n"), F.col("n") - need + extra)
+        good = good.select("sig", (F.col("shared") + room).alias("shared"), (need - extra).alias("rest"), F.greatest(F.lit(0), posted - F.col("shared")).alias("alone"), F.least(least, F.col("n")).alias("k"))
+        held = self.scratch.keep(flat.join(good, "sig").drop("size"), "enough")
+        sizes = held.groupBy("lh").agg(F.count("*").alias("size")).where("size > 1").select("lh")
+        return self.scratch.keep(held.join(sizes, "lh", "left_semi"), "members")
 
     # 4 ---------------------------------------------------------------------------------------------------------
-    def combine(self, flat: DataFrame) -> DataFrame:
-        """Replace long lists (flat rows lh, size, mult, sig) by lists of the sets that share two of them."""
-        long = flat.where(F.col("size") > LONG_LIST)
+    def combine(self, rows: DataFrame) -> DataFrame:
+        """Replace long lists (rows lh, mult, centre, component, shared, rest, n) by lists of those that share two of them."""
+        sizes = rows.groupBy("lh").agg(F.count("*").alias("size"))
+        rows = self.scratch.keep(rows.join(sizes, "lh"), "live")
+        long = rows.where(F.col("size") > LONG_LIST)
+        own = ["centre", "component", "shared", "rest", "n"]
         if long.limit(1).count() == 0:
-            return flat.select("lh", "sig")
-        held = long.groupBy("sig").agg(F.sort_array(F.collect_set(F.struct("lh", "mult"))).alias("of"))
+            return rows.select("lh", *own)
+        held = long.groupBy("centre", "component").agg(F.max("shared").alias("shared"), F.max("rest").alias("rest"), F.min("n").alias("n"), F.sort_array(F.collect_set(F.struct("lh", "mult"))).alias("of"))
         held = held.where((F.size("of") > 1) | (F.element_at("of", 1)["mult"] > 1))
-        one = held.select("sig", "of", F.posexplode("of").alias("i", "x"))
-        pair = one.select("sig", F.col("x.lh").alias("x"), F.explode(F.expr("filter(transform(of, (o, j) -> case when j > i or (j = i and o.mult > 1) then o.lh end), o -> o is not null)")).alias("y"))
-        combos = pair.select(F.xxhash64("x", "y").alias("lh"), "sig")
-        return self.scratch.keep(flat.where(F.col("size") <= LONG_LIST).select("lh", "sig").unionByName(combos), "combined")
+        one = held.select(*own, "of", F.posexplode("of").alias("i", "x"))
+        second = F.expr("filter(transform(of, (o, j) -> case when j > i or (j = i and o.mult > 1) then o.lh end), o -> o is not null)")
+        combos = one.select(*own, F.col("x.lh").alias("x"), F.explode(second).alias("y")).select(F.xxhash64("x", "y").alias("lh"), *own)
+        return self.scratch.keep(rows.where(F.col("size") <= LONG_LIST).select("lh", *own).unionByName(combos), "combined")
 
     # 5 ---------------------------------------------------------------------------------------------------------
     def sets(self, wanted: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
@@ -293,11 +314,12 @@ class ShingleJoin:
 
     def groups(self, flat: DataFrame) -> DataFrame:
         """Connected groups of the sets in the members table (lh, sig, n, ord, mult, size) -> (id, component) of sets."""
-        # every set against leaders of its lists: the one with the largest share of shared shingles (an original has few of
-        # its own, its copies have those of their edits), and the first document
-        flat = flat.join(flat.groupBy("sig").agg(F.sum("mult").alias("shared")), "sig").withColumn("own", 1 - F.col("shared") / F.col("n"))
-        lead = flat.groupBy("lh").agg(F.min(F.struct("own", "ord", "sig")).alias("central"), F.min(F.struct("ord", "sig")).alias("early"))
-        near_by = flat.join(lead, "lh").groupBy("sig").agg(F.min(F.struct("central.own", "central.ord", "central.sig")).alias("central"), F.min("early").alias("early"))
+        # every set against leaders of its lists: the one with the fewest shingles of its own (an original has none, its copies
+        # have those of their edits), and the first document
+        flat = flat.withColumn("held", -F.col("shared"))
+        best = F.struct("alone", "held", "ord", "sig")
+        lead = flat.groupBy("lh").agg(F.min(best).alias("central"), F.min(F.struct("ord", "sig")).alias("early"))
+        near_by = flat.join(lead, "lh").groupBy("sig").agg(F.min("central").alias("central"), F.min("early").alias("early"))
         first = near_by.select(F.col("sig").alias("b"), F.explode(F.array("central.sig", "early.sig")).alias("a")).where("a <> b").distinct()
         tried = self.verify(first, "leaders", F.lit(self.percent))
         good = tried.where(self.at_least(self.percent)).select("a", "b")
@@ -310,15 +332,27 @@ class ShingleJoin:
             return df.where(F.col(f"g_{x}") != F.col(f"g_{y}")).drop(f"g_{x}", f"g_{y}")
 
         centre_of = good.groupBy(F.col("b").alias("sig")).agg(F.min("a").alias("centre"))
-        short = self.combine(flat)
-        centred = short.join(centre_of, "sig", "left").select("lh", F.coalesce("centre", "sig").alias("centre")).distinct()
-
-        # leaders that share a list; what must be known of them depends on whether they stand for others
-        named = centred.join(comp.select(F.col("id").alias("centre"), "component"), "centre", "left").withColumn("component", F.coalesce("component", "centre"))
-        lists = named.groupBy("lh").agg(F.sort_array(F.collect_set("centre")).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        lists = lists.groupBy("c").count().select("c")
-        one = lists.select("c", F.posexplode("c").alias("i", "a"))
-        between = apart(one.select("a", F.explode(F.expr("slice(c, i + 2, size(c))")).alias("b")).distinct(), "a", "b")
+        rows = flat.select("lh", "mult", "sig", "n", "shared", "rest", "k").join(centre_of, "sig", "left").withColumn("centre", F.coalesce("centre", "sig"))
+        rows = rows.join(comp.select(F.col("id").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+        rows = self.scratch.keep(rows, "centred")
+        # lists with members of several groups; of its lists a set needs all but k - 1, the shortest first
+        open_lists = rows.groupBy("lh").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("lh", "size")
+        of_set = Window.partitionBy("sig")
+        in_turn = of_set.orderBy("size", "lh").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.join(open_lists, "lh").withColumns({"all": F.sum("mult").over(of_set), "before": F.coalesce(F.sum("mult").over(in_turn), F.lit(0))})
+        rows = rows.where("before <= all - k + 1")
+        # members with one leader and group stand together, with the bounds of the best of them
+        rows = rows.groupBy("lh", "centre", "component").agg(F.max("mult").alias("mult"), F.max("shared").alias("shared"), F.max("rest").alias("rest"), F.min("n").alias("n"))
+        short = self.combine(rows)
+
+        def side(name: str) -> DataFrame:
+            return short.select([F.col(c).alias(c if c == "lh" else f"{name}_{c}") for c in short.columns])
+
+        common = F.least("a_shared", "b_shared") + F.greatest("a_rest", "b_rest")
+        able = common * (100 + self.percent) >= (F.col("a_n") + F.col("b_n")) * self.percent
+        apart_now = (F.col("a_centre") < F.col("b_centre")) & (F.col("a_component") != F.col("b_component"))
+        pairs = side("a").alias("x").join(side("b").alias("y"), (F.col("x.lh") == F.col("y.lh")) & apart_now & able)
+        between = pairs.select(F.col("a_centre").alias("a"), F.col("b_centre").alias("b")).distinct()
         stands = centre_of.select(F.col("centre").alias("a")).distinct()
         between = between.join(stands.select("a", F.lit(1).alias("sa")), "a", "left").join(stands.select(F.col("a").alias("b"), F.lit(1).alias("sb")), "b", "left")
         between = between.select("a", "b", (F.coalesce("sa", F.lit(0)) + F.coalesce("sb", F.lit(0))).alias("stand"))
@@ -326,28 +360,57 @@ class ShingleJoin:
         links = good.unionByName(met.where(self.at_least(self.percent)).select("a", "b"))
         comp = self.scratch.keep(components(self.spark, links, self.scratch), "comp")
 
-        # what the metric leaves open between groups that aren't connected: members against the other leader, and only
-        # members near it against each other
+        # what the metric leaves open between groups that aren't connected
         maybe = self.scratch.keep(apart(met.where(~self.at_least(self.percent)).select("a", "b"), "a", "b"), "open")
         if maybe.limit(1).count():
-            members = self.scratch.keep(centre_of, "centres")
-            cross = (
-                maybe.join(members.withColumnRenamed("centre", "a"), "a").select(F.col("sig").alias("a"), "b")
-                .unionByName(maybe.join(members.withColumnRenamed("centre", "b"), "b").select("a", F.col("sig").alias("b")))
-                .distinct()
-            )
-            crossed = self.verify(cross, "cross", F.lit(self.near))
-            links = links.unionByName(crossed.where(self.at_least(self.percent)).select("a", "b"))
-            comp = self.scratch.keep(components(self.spark, links, self.scratch), "comp")
-            near = crossed.select("a", "b")
-            left = near.withColumnRenamed("a", "x").join(members.select(F.col("sig").alias("x"), F.col("centre").alias("a")), "x")
-            right = near.withColumnRenamed("b", "y").join(members.select(F.col("sig").alias("y"), F.col("centre").alias("b")), "y")
-            rest = maybe.join(left, ["a", "b"]).join(right, ["a", "b"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
-            last = self.verify(apart(rest, "a", "b"), "rest", F.lit(self.percent))
-            links = links.unionByName(last.where(self.at_least(self.percent)).select("a", "b"))
+            links = links.unionByName(self.between_clusters(maybe, centre_of))
             comp = self.scratch.keep(components(self.spark, links, self.scratch), "comp")
         return comp
 
+    def between_clusters(self, maybe: DataFrame, centre_of: DataFrame) -> DataFrame:
+        """Links between the clusters of leaders a and b (a leader, and the sets that link with it).
+
+        The members of the larger cluster are connected, so a set of the smaller needs one link with any of them: that is
+        all a task returns.  Clusters meet in blocks of bounded size, both sides blocked.
+        """
+        percent, n_bins = self.percent, self.bins
+        ends = maybe.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+        cluster = centre_of.select("sig", "centre").unionByName(ends.select("sig", F.col("sig").alias("centre"))).distinct()
+        cluster = self.scratch.keep(cluster, "clusters")
+        sizes = cluster.groupBy("centre").agg(F.count("*").alias("size"))
+        size_of = lambda x: sizes.select(F.col("centre").alias(x), F.col("size").alias(f"n{x}"))
+        sided = maybe.join(size_of("a"), "a").join(size_of("b"), "b")
+        larger = F.col("na") >= F.col("nb")
+        sided = sided.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("h"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("centre"))
+        right = self.scratch.keep(sided.join(cluster, "centre").select("h", "sig").distinct(), "asking")
+        blocks = right.groupBy("h").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("nr"))
+        blocks = blocks.join(sizes.select(F.col("centre").alias("h"), F.ceil(F.col("size") / BLOCK_SETS).cast("int").alias("nl")), "h")
+        left = cluster.withColumnRenamed("centre", "h").join(blocks, "h").select("h", "sig", F.pmod(F.xxhash64("sig"), F.col("nl")).cast("int").alias("bl"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("br"))
+        right = right.join(blocks, "h").select("h", "sig", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("bl"), F.pmod(F.xxhash64("sig"), F.col("nr")).cast("int").alias("br"))
+
+        def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+            found: list[tuple[int, int]] = []
+            if left.num_rows and right.num_rows:
+                read = lambda t: (t.column("sig").to_numpy(), t.column("n").to_numpy().astype(np.int64), [np.frombuffer(x, np.uint64) for x in t.column("tokens").to_pylist()], np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, n_bins))
+                ls, ln, lt, lb = read(left)
+                rs, rn, rt, rb = read(right)
+                for i in range(len(rs)):
+                    low = np.minimum(ln, rn[i])
+                    bound = np.minimum(lb, rb[i]).sum(axis=1, dtype=np.int64)
+                    bound = np.where((lb[:, rb[i] == 255] == 255).any(axis=1), low, np.minimum(bound, low))
+                    able = (bound * (100 + percent) >= (ln + rn[i]) * percent) & (ls != rs[i])
+                    for j in np.flatnonzero(able)[np.argsort(-bound[able], kind="stable")]:
+                        common = len(np.intersect1d(lt[j], rt[i], assume_unique=True))
+                        if common * 100 >= (ln[j] + rn[i] - common) * percent:
+                            found.append((int(rs[i]), int(ls[j])))
+                            break
+            return pa.table([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
+
+        keys = ["h", "bl", "br"]
+        again = self.spark.read.schema(self.kept_sets.schema).parquet(self.kept_sets._lexmill_path)  # columns of its own
+        solved = left.join(self.kept_sets, "sig").groupBy(*keys).cogroup(right.join(again, "sig").groupBy(*keys)).applyInArrow(solve, "a long, b long")
+        return self.scratch.keep(solved, "across")
+
     @property
     def near(self) -> float:
         """Similarity that whatever links with a member has with the member's leader at least: distance 2(1 - t)."""

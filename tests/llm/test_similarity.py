@@ -88,6 +88,7 @@ def test_groups_match_brute_force(spark, seed, monkeypatch):
     from lexmill.llm import shingle_join
 
     monkeypatch.setattr(shingle_join, "LONG_LIST", 8)  # so that frequent shingles are combined
+    monkeypatch.setattr(shingle_join, "BLOCK_SETS", 4096 if seed == 1 else 3)
     docs = [(i * 3 + 1, t) for i, t in enumerate(corpus(seed))] + [(5000, None), (5001, ""), (5002, " \t\n"), (5003, "one two")]
     random.Random(seed).shuffle(docs)
     got = ngram_groups(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
