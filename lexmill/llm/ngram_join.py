@@ -20,7 +20,7 @@ from .shingle_join import ShingleJoin
 def ngram_groups(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("row"), F.col("text").cast("string").alias("text"))
-    join = ShingleJoin(spark, rows, lines=False, percent=percent, width=width, extra=6)
+    join = ShingleJoin(spark, rows, lines=False, percent=percent, width=width, extra=4)
     scratch = join.scratch
     all_units = join.count().select("row", "n", "sig")
     sets = all_units.where("n > 0 and row is not null").groupBy("sig").agg(F.min("row").alias("ord"), F.first("n").alias("n"))
