@@ -3,8 +3,9 @@
 Folding: letters are lower-cased, accents dropped, homoglyphs and digit or sign substitutions read as
 the letters they imitate, everything else becomes a space.  The lexicon holds word starts with a log-odds weight, learned
 from a bounded sample of labelled documents (``sample`` rows, smallest hashes first), plus entries that the caller
-gives.  Entries match at word starts only.  Exception phrases (given, and words or word pairs learned from documents labelled
-clean) cancel the matches inside them.  A document's features are its summed weight and that weight over the
+gives.  Entries match at word starts only.  Exception phrases (given, and words or word pairs learned from the same sample: those
+around matches in documents labelled clean that documents labelled toxic hardly hold; words of up to 40 letters) cancel the
+matches inside them.  A document's features are its summed weight and that weight over the
 square root of its length in words; a logistic curve over both, fitted on the same sample, gives the score.
 
 Defined results: a null text is an empty text and gets the score of a text without matches; without labels the
@@ -16,7 +17,9 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +83,18 @@ def pick_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, lea
     return dict(sorted(lean.items(), key=lambda x: (-x[1], x[0]))[:size])
 
 
+def pick_exceptions(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: int, size: int) -> list[str]:
+    """Phrases around matches that tell a clean document; toxic, clean: documents with matches."""
+    kept: dict[str, float] = {}
+    for phrase, a, b in counts:
+        if b < least:
+            continue
+        odds = math.log((b + 0.5) / (clean + 1)) - math.log((a + 0.5) / (toxic + 1))
+        if odds >= 2.0 and b / (a + b) >= 0.8:
+            kept[phrase] = odds
+    return sorted(kept, key=lambda x: (-kept[x], x))[:size]
+
+
 class Matcher:
     """Aho-Corasick automaton of entries (at word starts) and exception phrases."""
 
@@ -100,19 +115,41 @@ class Matcher:
         if self.any:
             self.auto.make_automaton()
 
+    def hits(self, folded: str) -> list[tuple[int, int, float]]:
+        """(first place, last place, weight) of the matches that no exception phrase holds."""
+        hits, spans = [], []
+        for end, (length, weight) in self.auto.iter(folded):
+            (spans if weight is None else hits).append((end - length + 1, end, weight))
+        if spans:
+            spans.sort(key=lambda x: x[0])
+            at = [s for s, _, _ in spans]
+            far = list(accumulate((e for _, e, _ in spans), max))  # the furthest end of the spans up to each
+            hits = [h for h in hits if not (i := bisect_right(at, h[0])) or far[i - 1] < h[1]]
+        return hits
+
+    def contexts(self, text: str) -> set[str]:
+        """Words with matches, alone and with the word before and after."""
+        folded, out = fold(text), set()
+        if not self.any or not folded.strip():
+            return out
+        for at, end, _ in self.hits(folded):
+            stop = folded.index(" ", end)
+            word = folded[at + 1 : stop]
+            before = folded[folded.rfind(" ", 0, at) + 1 : at]
+            after = folded[stop + 1 : max(folded.find(" ", stop + 1), stop + 1)]
+            if len(word) <= 40:
+                out.add(word)
+                out.update(f"{a} {b}" for a, b in ((before, word), (word, after)) if 0 < len(a) <= 40 and 0 < len(b) <= 40)
+        return out
+
     def features(self, text: str) -> tuple[float, float]:
         """(summed weight, weight over the square root of the number of words)."""
         folded = fold(text)
         n = folded.count(" ") - 1
         if not self.any or n <= 0:
             return 0.0, 0.0
-        hits, spans = [], []
-        for end, (length, weight) in self.auto.iter(folded):
-            (spans if weight is None else hits).append((end - length + 1, end, weight))
-        if spans:
-            hits = [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e, _ in spans)]
         best: dict[int, float] = {}
-        for at, _, w in hits:  # a word counts once, by its heaviest entry
+        for at, _, w in self.hits(folded):  # a word counts once, by its heaviest entry
             best[at] = max(best.get(at, w), w)
         total = sum(best.values())
         return total, total / math.sqrt(n)
@@ -148,13 +185,13 @@ def learn(
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)  # at most `sample` rows of 12 bytes
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
-    def count(batches):
+    def count(batches, of=lambda text: starts(fold(text))):
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 toxic, clean = Counter(), Counter()
                 for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    (toxic if label else clean).update(starts(fold(text or "")))
+                    (toxic if label else clean).update(of(text or ""))
                 if toxic or clean:
                     keys = list({**toxic, **clean})
                     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([toxic[k] for k in keys], pa.int64()), pa.array([clean[k] for k in keys], pa.int64())], ["entry", "a", "b"])
@@ -164,9 +201,21 @@ def learn(
     counts = texts.mapInArrow(count, "entry string, a long, b long").groupBy("entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     telling = counts.where(F.col("a") >= least).where("a >= 4 * b").orderBy(F.desc("a"), "entry").limit(20 * size).collect()
     lexicon = pick_lexicon([tuple(r) for r in telling], toxic, clean, least, size) | (given or {})
-    matcher = Matcher(lexicon, list(exceptions))
     bound = {"lexicon": lexicon, "exceptions": list(exceptions)}
 
+    def around(batches):
+        m = matcher_of(bound)
+        # the empty phrase counts the documents with matches
+        yield from count(batches, lambda text: {"", *found} if (found := m.contexts(text)) else found)
+
+    if lexicon and toxic and clean:
+        near = texts.mapInArrow(around, "entry string, a long, b long").groupBy("entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where(F.col("b") >= least).where("b >= 4 * a or entry = ''")
+        near = [tuple(r) for r in near.orderBy(F.col("entry") != "", F.desc("b"), "entry").limit(20 * size).collect()]
+        if near and near[0][0] == "":
+            learned = pick_exceptions(near[1:], near[0][1], near[0][2], least, size)
+            bound = bound | {"exceptions": [*exceptions, *learned]}
+    matcher = Matcher(lexicon, bound["exceptions"])
+
     def measure(batches):
         m = matcher_of(bound)
         for b in batches:

@@ -134,6 +134,36 @@ def test_toxicity_is_learned(spark):
     assert {r["predicted"] for r in none.collect()} == {0}
 
 
+def test_exceptions_are_learned(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
+    text = lambda middle="": " ".join([*rng.choices(words, k=rng.randrange(5, 20)), *middle.split(), *rng.choices(words, k=5)])
+    docs, labels = [], []
+    for i in range(700):
+        toxic, harmless = i % 5 == 0, i % 35 == 1  # 140 toxic documents, 20 clean ones with a harmless phrase
+        docs.append((i, text("zorgle" if toxic else ("zorgle lamp" if i % 70 == 1 else "zorglement") if harmless else "")))
+        labels.append((i, int(toxic)))
+    docs += [(10_000 + i, text("zorgle" if i < 10 else "zorgle lamp" if i < 20 else "zorglement")) for i in range(30)]
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = tox.learn(spark, d, lab, exceptions=("given phrase",))
+    assert {"given phrase", "zorgle lamp", "zorglement"} <= set(model["exceptions"])
+    assert "zorgle" not in model["exceptions"]
+    got = {r["doc_id"]: r["predicted"] for r in tox.toxicity(spark, d, lab).collect()}
+    assert [got[10_000 + i] for i in range(30)] == [1] * 10 + [0] * 20
+
+
+def test_exceptions_hold_what_brute_force_says():
+    rng = random.Random(6)
+    for _ in range(200):
+        phrases = [" ".join(rng.choices(["aaaa", "aaab", "abab", "b"], k=rng.randrange(1, 4))) for _ in range(rng.randrange(4))]
+        m = tox.Matcher({"aaa": 1.0, "abab ": 2.0}, phrases)
+        folded = tox.fold(" ".join(rng.choices(["aaaa", "aaab", "abab", "b"], k=rng.randrange(1, 12))))
+        spans = [(i, i + len(p) + 1) for p in phrases for i in range(len(folded)) if folded.startswith(f" {p} ", i)]
+        want = {(i, i + len(e)) for e in ("aaa", "abab ") for i in range(len(folded)) if folded.startswith(" " + e, i)}
+        want = {h for h in want if not any(s <= h[0] and h[1] <= e for s, e in spans)}
+        assert {h[:2] for h in m.hits(folded)} == want
+
+
 def test_pipeline_equals_brute_force(spark, tmp_path, monkeypatch):
     pytest.importorskip("corpus_pipeline")
     import corpus_pipeline
