@@ -408,7 +408,20 @@ def dup_clusters(t):
 )
 def cluster_jaccard(t):
     """Least Jaccard of the pairs of a cluster."""
-    rows = t.documents.select("source", "lang", (F.length("text") % 50).alias("bucket"), "doc_id", F.array_distinct(F.split(F.substring("text", 1, 200), " ")).alias("w"))
+    return _cluster_jaccard(t, F.substring("text", 1, 200))
+
+
+@query(
+    """with w as (select source, lang, length(text) % 50 as bucket, doc_id, list_distinct(string_split(text, ' ')) as w from documents)
+    select a.source, a.lang, a.bucket, count(*) as n_pairs, round(min(len(list_intersect(a.w, b.w))::double / len(list_distinct(list_concat(a.w, b.w)))), 6) as min_jaccard from w a join w b on a.source = b.source and a.lang = b.lang and a.bucket = b.bucket and a.doc_id < b.doc_id group by 1, 2, 3"""
+)
+def cluster_jaccard_whole(t):
+    """The same over all words of the texts."""
+    return _cluster_jaccard(t, F.col("text"))
+
+
+def _cluster_jaccard(t, text):
+    rows = t.documents.select("source", "lang", (F.length("text") % 50).alias("bucket"), "doc_id", F.array_distinct(F.split(text, " ")).alias("w"))
     pairs = D.cluster_pairs(rows, "doc_id", "source", "lang", "bucket")
     return pairs.groupBy("source", "lang", "bucket").agg(F.count("*").alias("n_pairs"), F.round(F.min(D.jaccard(F.col("a.w"), F.col("b.w"))), 6).alias("min_jaccard"))
 
@@ -418,8 +431,8 @@ def cluster_assessment(t):
     """Tier, warnings and the document to keep of each cluster."""
     k = F.col("doc_id")
     rows = t.documents.select(
-        "source", "lang", (F.length("text") % 50).alias("bucket"), "doc_id", F.sha2("text", 256).alias("content_hash"), F.array_distinct(F.split(F.substring("text", 1, 100), " ")).alias("numbers"), F.size(F.split("text", "\n")).cast("long").alias("n_articles"),
-        F.substring("text", 1, 400).alias("sample"), F.when(k % 3 == 0, k).alias("journal_id"), F.when(k % 5 == 0, "STOCK").otherwise("FLUX").alias("role"), F.when(k % 7 == 0, "published").otherwise("draft").alias("status"), (k % 4).alias("flags_blocking"), F.timestamp_seconds(k).alias("created_at"),
+        "source", "lang", (F.length("text") % 50).alias("bucket"), "doc_id", F.sha2("text", 256).alias("content_hash"), F.array_distinct(F.split("text", " ")).alias("numbers"), F.size(F.split("text", "\n")).cast("long").alias("n_articles"),
+        F.col("text").alias("sample"), F.when(k % 3 == 0, k).alias("journal_id"), F.when(k % 5 == 0, "STOCK").otherwise("FLUX").alias("role"), F.when(k % 7 == 0, "published").otherwise("draft").alias("status"), (k % 4).alias("flags_blocking"), F.timestamp_seconds(k).alias("created_at"),
     )
     return D.assess(D.clusters(rows, "source", "lang", "bucket").drop("n_in_cluster"), "doc_id", ["source", "lang", "bucket"])
 

@@ -21,3 +21,19 @@ def test_grids_of_all_orders(spark, tmp_path):
     totals = {o: sum(r[4] for r in rows if r[0] == o) for o in range(2, 120, 2)}
     got = {(r["id"], r["col_no"]): r["total"] for r in QUERIES["table_total_all"](spark, at).collect()}
     assert got == {(o, 0): s for o, s in totals.items()}
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_clusters_compare_whole_texts(spark, tmp_path):
+    head = " ".join(f"w{i}" for i in range(150))  # more than 400 characters
+    tails = {1: "a" * 900, 2: "b" * 900}
+    docs = [(k, f"{head} {t}", "fr", "s", 0) for k, t in tails.items()] + [(k + 10, f"{x * 450} {head}", "en", "s", 0) for k, x in ((1, "c"), (2, "d"))]
+    at = put(spark, tmp_path, "documents", docs, DOCS)
+    got = {r["lang"]: r for r in QUERIES["cluster_jaccard_whole"](spark, at).collect()}
+    assert {k: r["min_jaccard"] for k, r in got.items()} == {"fr": round(150 / 152, 6), "en": round(150 / 152, 6)}
+    tiers = {r["lang"]: (r["min_jaccard"], r["tier"], r["min_similarity"] < 0.85) for r in QUERIES["cluster_assessment"](spark, at).collect()}
+    # each pair differs by more than a fifth of its text, at the end or at the front
+    assert {k: v[0] for k, v in tiers.items()} == {"fr": 0.987, "en": 0.987}
+    assert tiers["fr"][2]
