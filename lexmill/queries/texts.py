@@ -72,9 +72,23 @@ def render_pages(t):
 )
 def clean_keys(t):
     """Normalised head and keys of each document."""
-    d = t.documents
+    return _clean_keys(t, F.substring("text", 1, 200))
+
+
+@query(
+    """select doc_id, sha256(lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))) as line_sha,
+    coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(source || ' ' || lang || '!'), '[^a-z0-9_-]+', '-', 'g'), '-{2,}', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), ''), 'document') as slug,
+    'flux:' || coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(source || ' ' || lang || '!'), '[^a-z0-9_-]+', '-', 'g'), '-{2,}', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), ''), 'document') as document_key
+    from documents"""
+)
+def clean_keys_whole(t):
+    """The same with the whole text normalised."""
+    return _clean_keys(t, F.col("text"))
+
+
+def _clean_keys(t, text):
     name = F.concat("source", F.lit(" "), "lang", F.lit("!"))
-    return d.select("doc_id", F.sha2(K.match_line(F.substring("text", 1, 200)), 256).alias("line_sha"), K.path_component(name).alias("slug"), K.document_key(F.lit("FLUX"), name).alias("document_key"))
+    return t.documents.select("doc_id", F.sha2(K.match_line(text), 256).alias("line_sha"), K.path_component(name).alias("slug"), K.document_key(F.lit("FLUX"), name).alias("document_key"))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from lexmill.queries.registry import QUERIES
 
 
@@ -37,3 +39,10 @@ def test_clusters_compare_whole_texts(spark, tmp_path):
     # each pair differs by more than a fifth of its text, at the end or at the front
     assert {k: v[0] for k, v in tiers.items()} == {"fr": 0.987, "en": 0.987}
     assert tiers["fr"][2]
+
+
+def test_keys_of_whole_texts(spark, tmp_path):
+    texts = {1: "# Un  Mot " * 60 + "fin", 2: "# Un  Mot " * 60 + "FIN\n", 3: "# Un  Mot " * 60 + "autre", 4: "court"}
+    at = put(spark, tmp_path, "documents", [(k, x, "fr", "s", 0) for k, x in texts.items()], DOCS)
+    got = {r["doc_id"]: r["line_sha"] for r in QUERIES["clean_keys_whole"](spark, at).collect()}
+    assert got == {k: hashlib.sha256(" ".join(x.lstrip("# ").split()).lower().encode()).hexdigest() for k, x in texts.items()}
