@@ -439,7 +439,7 @@ def unescape_math(t):
 
     text = F.concat(F.lit("Loi $\\mathbf{N}^{\\circ}$ "), F.col("l_linenumber").cast("string"), F.lit(" du $1^{\\text{er}}$ mai, soit $x+y$ et "), (F.col("l_quantity")).cast("string"), F.lit(" $\\%$"))
     x = unescape(text)
-    return t.lineitem.where("l_linenumber = 1").select("l_orderkey", x["text"].alias("text"), F.size(x["refused"]).alias("n_refused"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", x["text"].alias("text"), F.size(x["refused"]).alias("n_refused"))
 
 
 @query()

@@ -46,3 +46,10 @@ def test_keys_of_whole_texts(spark, tmp_path):
     at = put(spark, tmp_path, "documents", [(k, x, "fr", "s", 0) for k, x in texts.items()], DOCS)
     got = {r["doc_id"]: r["line_sha"] for r in QUERIES["clean_keys_whole"](spark, at).collect()}
     assert got == {k: hashlib.sha256(" ".join(x.lstrip("# ").split()).lower().encode()).hexdigest() for k, x in texts.items()}
+
+
+def test_math_of_all_lines(spark, tmp_path):
+    rows = [(o, n, 1, 1, float(o + n), 1.0) for o in range(1, 40) for n in range(1, o % 7 + 2)]
+    at = put(spark, tmp_path, "lineitem", rows, LINES)
+    got = sorted(tuple(r) for r in QUERIES["unescape_math"](spark, at).collect())
+    assert got == [(o, n, f"Loi N° {n} du 1er mai, soit $x+y$ et {q} %", 1) for o, n, _, _, q, _ in rows]
