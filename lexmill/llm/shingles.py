@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+#: Unit numbers below this fit into a sort key together with the head of a token.
+UNITS = 1 << 20
 _U = np.uint64
 
 
@@ -114,15 +116,17 @@ def distinct(unit: np.ndarray, tokens: np.ndarray, rank: np.ndarray | None = Non
 
     rank: a 12-bit class for each token, so that rarer classes come first.
     """
-    key = (unit.astype(np.uint64) << _U(44)) | (tokens >> _U(32))
-    if rank is not None:
-        key = (unit.astype(np.uint64) << _U(44)) | (rank.astype(np.uint64) << _U(32)) | (tokens >> _U(32))
-    else:
-        key = (unit.astype(np.uint64) << _U(44)) | (tokens >> _U(20))
-    order = np.argsort(key)
-    key, t = key[order], tokens[order]
-    tie = key[1:] == key[:-1]
-    if (tie & (t[1:] != t[:-1])).any():  # different tokens that look alike: the full order
+    whole = len(unit) > 0 and int(unit.max()) >= UNITS  # the lines of a very long text
+    if not whole:
+        if rank is not None:
+            key = (unit.astype(np.uint64) << _U(44)) | (rank.astype(np.uint64) << _U(32)) | (tokens >> _U(32))
+        else:
+            key = (unit.astype(np.uint64) << _U(44)) | (tokens >> _U(20))
+        order = np.argsort(key)
+        key, t = key[order], tokens[order]
+        tie = key[1:] == key[:-1]
+        whole = (tie & (t[1:] != t[:-1])).any()  # different tokens that look alike
+    if whole:  # the full order
         order = np.lexsort((tokens, rank if rank is not None else unit, unit))
         t = tokens[order]
     u = unit[order]

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lexmill.llm.line_dedup import line_dedup
@@ -143,3 +144,29 @@ def test_lines_of_odd_tables(spark):
     got = line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, n_lines int"))
     out = sorted(((r["doc_id"], r["text"], r["n_removed"]) for r in got.collect()), key=str)
     assert out == sorted([(7, text, 0), (7, "", 2), (None, "", 2), (None, None, 0)], key=str)
+
+
+def test_units_beyond_a_packed_key():
+    from lexmill.llm import shingles as S
+
+    rng = random.Random(2)
+    pairs = sorted((rng.choice([0, 1, 5]) + rng.choice([0, S.UNITS, 3 * S.UNITS]), rng.randrange(4) << 60 | rng.randrange(3)) for _ in range(300))
+    unit, tokens = np.array([u for u, _ in pairs]), np.array([t for _, t in pairs], np.uint64)
+    for rank in (None, (tokens & np.uint64(3)).astype(np.uint16)):
+        u, t, at = S.distinct(unit, tokens, rank)
+        want = sorted(set(pairs), key=lambda x: (x[0], x[1] & 3 if rank is not None else 0, x[1]))
+        assert list(zip(u.tolist(), t.tolist(), strict=True)) == want
+        assert (unit[at] == u).all() and (tokens[at] == t).all()
+
+
+def test_lines_of_a_very_long_text(spark):
+    from lexmill.llm.shingles import UNITS
+
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    lines = [""] * (UNITS + 200)
+    for k in range(20):
+        lines[3 + k] = words(k)
+        lines[UNITS + 3 + k] = words(k + 7) if k % 2 else words(k + 7) + " more"  # equal or near to an earlier line but for 7
+    got = line_dedup(spark, spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")).first()
+    kept = [x for x in got["text"].split("\n") if x]
+    assert got["n_removed"] == 13 and len(kept) == 27 and kept[:20] == [words(k) for k in range(20)]
