@@ -374,6 +374,19 @@ def manifest_backfill(t):
     return M.backfill(d.where("doc_id % 2 = 0"), d.where("doc_id % 3 = 0 and doc_id < 700").select("id", "sha256")).select("doc_id", "verdict")
 
 
+@query(
+    """with f as (select 'd' || doc_id as id, sha256(text) as sha256, doc_id from documents), e as (select 'd' || doc_id as id, sha256(case when doc_id % 6 = 0 then text || '~' else text end) as sha256 from documents where doc_id % 3 = 0),
+    s as (select distinct sha256 from e)
+    select f.doc_id, case when e.sha256 = f.sha256 then 'existing' when e.sha256 is not null then 'changed' when s.sha256 is not null then 'duplicate' else 'new' end as verdict from f left join e on e.id = f.id left join s on s.sha256 = f.sha256"""
+)
+def manifest_backfill_all(t):
+    """The same for all documents; the manifest has a third of them, half of those with another checksum."""
+    d = t.documents.select("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
+    old = F.when(F.col("doc_id") % 6 == 0, F.concat("text", F.lit("~"))).otherwise(F.col("text"))
+    manifest = d.where("doc_id % 3 = 0").select("id", F.sha2(old, 256).alias("sha256"))
+    return M.backfill(d.select("doc_id", "id", F.sha2("text", 256).alias("sha256")), manifest).select("doc_id", "verdict")
+
+
 @query("select o_orderdate::date as jo_annee, o_custkey % 9 as jo_numero, list_sort(list(distinct o_orderkey)) as variants from orders group by 1, 2 having count(distinct o_orderkey) > 1")
 def issue_variants(t):
     """Issues that several files stand for."""

@@ -53,3 +53,11 @@ def test_math_of_all_lines(spark, tmp_path):
     at = put(spark, tmp_path, "lineitem", rows, LINES)
     got = sorted(tuple(r) for r in QUERIES["unescape_math"](spark, at).collect())
     assert got == [(o, n, f"Loi N° {n} du 1er mai, soit $x+y$ et {q} %", 1) for o, n, _, _, q, _ in rows]
+
+
+def test_manifest_of_all_documents(spark, tmp_path):
+    docs = [(k, f"text {k}", "fr", "s", 0) for k in range(1500)] + [(1501, "text 3", "fr", "s", 0)]
+    at = put(spark, tmp_path, "documents", docs, DOCS)
+    got = {r["doc_id"]: r["verdict"] for r in QUERIES["manifest_backfill_all"](spark, at).collect()}
+    want = {k: "changed" if k % 6 == 0 else "existing" if k % 3 == 0 else "new" for k, *_ in docs}
+    assert got == want | {1501: "duplicate"}
