@@ -24,17 +24,19 @@ def removed_lines(spark: SparkSession, docs: DataFrame, percent: int = 75, width
     join = ShingleJoin(spark, docs, lines=True, percent=percent, width=width, extra=8)
     scratch = join.scratch
     lines = join.count().where("n > 0")
-    sets = lines.groupBy("sig").agg(F.min(F.struct("row", "line")).alias("ord"), F.count("*").alias("copies"), F.first("n").alias("n"))
+    first_row = F.when(F.col("fresh"), F.col("row"))  # of its set, one line of a row is fresh: the first
+    sets = lines.groupBy("sig").agg(F.min("row").alias("ord"), F.min_by("line", first_row).alias("line"), F.count("*").alias("copies"), F.first("n").alias("n"))
     sets = scratch.keep(sets, "sets")
-    flat = join.enough(join.lists().join(sets.select("sig", "ord", "n"), "sig"))
-    join.sets(flat.select("sig", "ord.row", "ord.line").distinct())
-    comp = join.groups(flat).withColumnRenamed("id", "sig")
-    comp = comp.unionByName(comp.select(F.col("component").alias("sig"), "component").distinct())
+    members = join.enough(join.lists().join(sets.select("sig", "ord", "n").hint("shuffle_hash"), "sig"))
+    asked = members.select("sig").distinct()
+    join.sets(sets.join(asked, "sig", "left_semi").select("sig", F.col("ord").alias("row"), "line"))
+    comp = join.groups(members).withColumnRenamed("id", "sig")
+    comp = comp.unionByName(comp.select(F.col("component").alias("sig"), "component")).distinct()
     # only the first line of a group of several sets, or of several equal lines, stays
-    named = sets.join(comp, "sig", "left").where("component is not null or copies > 1").withColumn("component", F.coalesce("component", "sig"))
-    firsts = named.groupBy("component").agg(F.min("ord").alias("first"))
-    named = named.join(firsts, "component").select("sig", "first")
-    return lines.join(named, "sig").where(F.struct("row", "line") != F.col("first")).select("row", "line")
+    named = sets.join(comp.hint("shuffle_hash"), "sig", "left").where("component is not null or copies > 1").withColumn("component", F.coalesce("component", "sig"))
+    firsts = named.groupBy("component").agg(F.min(F.struct("ord", "line")).alias("first"))
+    named = named.join(firsts, "component").select("sig", F.col("first.ord").alias("first_row"), F.col("first.line").alias("first_line"))
+    return lines.join(named.hint("shuffle_hash"), "sig").where("row <> first_row or line <> first_line").select("row", "line")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
@@ -45,7 +47,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, percent: int = 75, width: i
     numbered, rows = with_rows(scratch, docs)
     gone = removed_lines(spark, rows, percent, width)
     by_row = gone.groupBy("row").agg(F.collect_set("line").alias("__gone"))
-    joined = numbered.join(by_row, "row", "left").drop("row")
+    joined = numbered.join(by_row.hint("shuffle_hash"), "row", "left").drop("row")
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     at = own.index("text")
 

@@ -25,9 +25,9 @@ def ngram_groups(spark: SparkSession, docs: DataFrame, percent: int = 75, width:
     all_units = join.count().select("row", "n", "sig")
     sets = all_units.where("n > 0 and row is not null").groupBy("sig").agg(F.min("row").alias("ord"), F.first("n").alias("n"))
     sets = scratch.keep(sets, "sets")
-    flat = join.enough(join.lists().join(sets, "sig"))
-    join.sets(flat.select("sig", F.col("ord").alias("row")).distinct().withColumn("line", F.lit(0)))
-    comp = join.groups(flat)
+    members = join.enough(join.lists().join(sets.hint("shuffle_hash"), "sig"))
+    join.sets(members.select("sig", F.col("ord").alias("row")).distinct().withColumn("line", F.lit(0)))
+    comp = join.groups(members)
 
     # smallest document of each group of sets, then of each document
     named = sets.join(comp.select(F.col("id").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))

@@ -11,16 +11,21 @@ Shared by the document join and the line join.  Steps:
 3. Lists: a block is sorted once; shingles with two or more sets become member lists, pairs that the length or
    positional filter rules out go, and equal lists collapse.
 4. Leaders: exact set overlap, first of every set with the leaders of its lists; sets that link are connected.  What is
-   left are lists with members in different groups.  A linked pair shares k lists, so each set needs only the shortest of
-   its lists but for k - 2 of them (two are left in common), and pairs meet only where sizes and shared shingles allow a link.
-5. Token combinations: lists that still hold more than ``LONG_LIST`` such members are the frequent shingles.  They are
-   replaced by lists of the sets that share two of them, rarer shingles stay single.
+   left are lists with members in different groups.  Lists stand in one order, the shortest first.  A linked pair shares k
+   lists, so a set needs all of its lists but the last k - 1, and at the first list that two sets share, whatever either
+   posted before is what the other lacks.  That bounds their overlap (the positional filter over whole sets), and pairs meet
+   only where sizes and this bound allow a link.
+5. Token combinations: lists of more than ``LONG_LIST`` sets belong to the frequent shingles.  They are replaced by lists of
+   the sets that share two of them; rarer shingles stay single.  Frequent lists are the last in the order, so a
+   pair whose first common list is frequent shares a second one that is, too.
 6. Jaccard distance is a metric, so a leader stands for the sets within 1 - t of it: what is farther than 2(1 - t)
    from a leader links with none of them, and only pairs that this leaves open are compared one by one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,7 +35,13 @@ from .common import Scratch, components, shuffle_partitions
 from .shingles import buffers, chunks, distinct, mix, signatures, units
 
 CLASSES = 1 << 16
-LONG_LIST = 4096
+#: Class counts travel in so many slices, which add up side by side.
+SLICES = 64
+#: A shingle in more sets than this is a frequent one.
+LONG_LIST = 512
+#: Postings that a task gathers before it packs them, and that a block holds on average.
+FLUSH = 1 << 20
+BLOCK_POSTINGS = 1 << 21
 #: Most sets on one side of a block of two clusters.
 BLOCK_SETS = 4096
 #: Buckets of the histogram that bounds an overlap, for documents and for lines.
@@ -50,12 +61,12 @@ class ShingleJoin:
 
     # 1 ---------------------------------------------------------------------------------------------------------
     def count(self) -> DataFrame:
-        """Units (row, line, n, sig) of all texts; keeps the class counts."""
-        lines, width = self.lines, self.width
+        """Units (row, line, n, sig, fresh: first of its set in its row) of all texts; keeps the class counts."""
+        lines, width, wide = self.lines, self.width, CLASSES // SLICES
+        names = ["row", "line", "n", "sig", "fresh", "slice", "counts"]
 
         def work(batches):
             total = np.zeros(CLASSES, np.int64)
-            names = ["row", "line", "n", "sig", "counts"]
             for batch in batches:
                 data, offsets = buffers(batch.column(1))
                 for a, b in chunks(offsets):
@@ -63,45 +74,69 @@ class ShingleJoin:
                     total += np.bincount((tokens & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
                     u, t, _ = distinct(unit, tokens)
                     n, sig = signatures(u, t, len(rows))
+                    fresh = np.ones(len(rows), bool)
+                    if lines:
+                        order = np.lexsort((number, sig, rows))
+                        fresh[order[1:]] = (sig[order[1:]] != sig[order[:-1]]) | (rows[order[1:]] != rows[order[:-1]])
                     m = len(rows)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(a + rows)), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig), pa.nulls(m, pa.binary())], names)
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([total.tobytes()], pa.binary())], names)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(a + rows)), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig), pa.array(fresh), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
+            own = total.reshape(SLICES, wide)
+            none = [pa.nulls(SLICES, kind) for kind in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(np.arange(SLICES), pa.int32()), pa.array([x.tobytes() for x in own], pa.binary())], names)
 
-        both = self.scratch.keep(self.docs.mapInArrow(work, "row long, line int, n int, sig long, counts binary"), "units")
+        schema = "row long, line int, n int, sig long, fresh boolean, slice int, counts binary"
+        both = self.scratch.keep(self.docs.mapInArrow(work, schema), "units")
 
-        def add(batches):
-            total = np.zeros(CLASSES, np.int64)
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(wide, np.int64)
             for batch in batches:
-                for x in batch.column(0):
-                    total += np.frombuffer(x.as_py(), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
-
-        summed = both.where("counts is not null").select("counts").coalesce(1).mapInArrow(add, "counts binary").collect()
-        total = np.zeros(CLASSES, np.int64)
-        for r in summed:  # one row of fixed size
-            total += np.frombuffer(r[0], np.int64)
+                total += np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.int64).reshape(-1, wide).sum(axis=0)
+                own = batch.column("slice")[:1]
+            yield pa.RecordBatch.from_arrays([own, pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
+
+        summed = both.where("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()
+        total = np.zeros((SLICES, wide), np.int64)
+        for r in summed:  # SLICES rows of fixed size
+            total[r[0]] = np.frombuffer(r[1], np.int64)
+        total = total.ravel()
         self.total = int(total.sum())
         # 12-bit class ranks, monotone in the count: the order only has to be the same for all sets
         order = np.argsort(np.argsort(total, kind="stable"), kind="stable")
         self.ranks = (order * 4096 // CLASSES).astype(np.uint16)
         self.hot = total > max(self.total // 512, 4 * (self.total // CLASSES) + 1000)
-        self.units = both.where("counts is null").drop("counts")
+        self.units = both.where("slice is null").drop("slice", "counts")
         return self.units
 
     # 2, 3 ------------------------------------------------------------------------------------------------------
     def lists(self) -> DataFrame:
-        """Distinct member lists: lh long, size int, mult long, sigs array<long>."""
+        """Members of the lists, one row for each: lh long, sig long, mult long (equal lists that collapsed)."""
         lines, width, percent, extra = self.lines, self.width, self.percent, self.extra
         spark = self.spark
         filters = lines  # postings of lines carry what the length and positional filters need
         ranks, hot = self.ranks, self.hot
-        n_blocks = 2 * shuffle_partitions(spark)
+        share = (100 - percent) / 100 + 1 / min(extra, 1 << 20)
+        n_blocks = max(2 * shuffle_partitions(spark), int(self.total * share) // BLOCK_POSTINGS)
+
+        def pack(parts):
+            t, sig, n, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+            block = (mix(t) % np.uint64(n_blocks)).astype(np.int64)
+            is_hot = hot[(t & np.uint64(CLASSES - 1)).astype(np.int64)]
+            block[is_hot] = n_blocks + sig[is_hot] % n_blocks
+            order = np.argsort(block, kind="stable")
+            block = block[order]
+            lo = np.flatnonzero(np.diff(block, prepend=-1))
+            hi = np.append(lo[1:], len(block))
+            fields = [(t >> np.uint64(32)).astype(np.uint32)[order], sig[order]]
+            if filters:
+                fields += [n[order], place[order]]
+            blobs = [b"".join([x[i:j].tobytes() for x in fields]) for i, j in zip(lo, hi, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(block[lo], pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
 
         def post(batches):
-            seen: set[int] = set()
+            seen: set[int] = set()  # sets that this task has posted; more than once does no harm
+            parts, held = [], 0
             for batch in batches:
                 data, offsets = buffers(batch.column(1))
-                parts = []
                 for a, b in chunks(offsets):
                     rows, _, unit, tokens = units(data, offsets[a : b + 1], lines, width)
                     if not len(tokens):
@@ -113,7 +148,7 @@ class ShingleJoin:
                         s = int(sig[i])
                         if s not in seen:
                             fresh[i] = True
-                            if len(seen) < 500_000:
+                            if len(seen) < 200_000:
                                 seen.add(s)
                     need = -(-percent * n // 100)
                     prefix = np.minimum(n, n - need + np.maximum(K, n // extra))
@@ -121,23 +156,14 @@ class ShingleJoin:
                     place = np.arange(len(u)) - first[u]
                     keep = (place < prefix[u]) & fresh[u]
                     parts.append((t[keep], sig[u[keep]], np.minimum(n[u[keep]], 65535).astype(np.uint16), np.minimum(place[keep], 65535).astype(np.uint16)))
-                if not parts:
-                    continue
-                t, sig, n, place = (np.concatenate(p) for p in zip(*parts, strict=True))
-                block = (mix(t) % np.uint64(n_blocks)).astype(np.int64)
-                is_hot = hot[(t & np.uint64(CLASSES - 1)).astype(np.int64)]
-                block[is_hot] = n_blocks + sig[is_hot] % n_blocks
-                order = np.argsort(block, kind="stable")
-                block = block[order]
-                cuts = np.flatnonzero(np.diff(block)) + 1
-                t32, sig, n, place = (t[order] >> np.uint64(32)).astype(np.uint32), sig[order], n[order], place[order]
-                lo = np.concatenate([[0], cuts]) if len(block) else np.zeros(0, int)
-                hi = np.concatenate([cuts, [len(block)]]) if len(block) else lo
-                fields = [t32, sig, n, place] if filters else [t32, sig]
-                blobs = [b"".join([x[i:j].tobytes() for x in fields]) for i, j in zip(lo, hi, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(block[lo], pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
-
-        schema = "lh long, token long, sigs array<long>, mult long"
+                    held += len(parts[-1][0])
+                    if held >= FLUSH:
+                        yield pack(parts)
+                        parts, held = [], 0
+            if held:
+                yield pack(parts)
+
+        none = pa.table([pa.array([], pa.int64())] * 3, names=["lh", "sig", "mult"])
 
         def gather(table: pa.Table) -> pa.Table:
             block = table.column("block")[0].as_py()
@@ -168,66 +194,64 @@ class ShingleJoin:
                 over = np.minimum(place[a], place[b]) + 1 + np.minimum(n[a] - place[a] - 1, n[b] - place[b] - 1)
                 able = (100 + percent) * over >= percent * (n[a] + n[b])
                 good[two[known & ~able]] = False
-            at, size = first[good], size[good]
-            if not len(at):
-                return pa.table({"lh": pa.array([], pa.int64()), "token": pa.array([], pa.int64()), "sigs": pa.array([], pa.list_(pa.int64())), "mult": pa.array([], pa.int64())})
-            inside = np.repeat(good, np.diff(np.append(first, len(t))))
-            sums = np.add.reduceat(mix(sig[inside].astype(np.uint64)), np.concatenate([[0], np.cumsum(size)[:-1]]))
-            lh = mix(sums + size.astype(np.uint64)).view(np.int64)
-            token = t[at].astype(np.int64) if loose else np.full(len(at), -1)
-            _, one, mult = np.unique(lh if not loose else np.arange(len(lh)), return_index=True, return_counts=True)
-            whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(sig[inside]))
-            return pa.table([pa.array(lh[one]), pa.array(token[one]), whole.take(pa.array(one)), pa.array(mult, pa.int64())], names=["lh", "token", "sigs", "mult"])
+            if not good.any():
+                return none
+            inside = np.repeat(good, size)
+            sig, size = sig[inside], size[good]
+            if loose:  # a hot shingle's members never meet in one row or block
+                lh = mix(t[inside].astype(np.uint64) + np.uint64(0x7F4A7C15 << 32)).view(np.int64)
+                return pa.table([pa.array(lh), pa.array(sig), pa.array(np.ones(len(sig), np.int64))], names=["lh", "sig", "mult"])
+            at = np.cumsum(size) - size
+            sums = np.add.reduceat(mix(sig.astype(np.uint64)), at)
+            lh, one, mult = np.unique(mix(sums + size.astype(np.uint64)).view(np.int64), return_index=True, return_counts=True)
+            chosen = np.zeros(len(size), bool)
+            chosen[one] = True
+            times, named = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+            times[one], named[one] = mult, lh
+            rows = np.repeat(chosen, size)
+            return pa.table([pa.array(np.repeat(named, size)[rows]), pa.array(sig[rows]), pa.array(np.repeat(times, size)[rows])], names=["lh", "sig", "mult"])
 
         posted = self.docs.mapInArrow(post, "block long, blob binary")
-        found = self.scratch.keep(posted.groupBy("block").applyInArrow(gather, schema), "lists")
-        plain = found.where("token < 0").groupBy("lh").agg(F.first("sigs").alias("sigs"), F.sum("mult").alias("mult"))
-        self.flat = plain.select("lh", F.size("sigs").alias("size"), "mult", F.explode("sigs").alias("sig"))
-        if hot.any():
-            # hot shingles stay flat: their members are never gathered in one row
-            loose = found.where("token >= 0").select(F.xxhash64("token", F.lit("hot")).alias("lh"), F.explode("sigs").alias("sig")).distinct()
-            sizes = loose.groupBy("lh").agg(F.count("*").cast("int").alias("size")).where("size > 1")
-            self.flat = self.flat.unionByName(loose.join(sizes, "lh").select("lh", "size", F.lit(1).cast("long").alias("mult"), "sig"))
-        self.flat = self.scratch.keep(self.flat, "flat")
-        return self.flat
+        found = self.scratch.keep(posted.groupBy("block").applyInArrow(gather, "lh long, sig long, mult long"), "lists")
+        # dealt by set, which is what the next steps ask for
+        return found.repartition("sig").groupBy("sig", "lh").agg(F.sum("mult").alias("mult"))
 
     def enough(self, flat: DataFrame) -> DataFrame:
-        """Flat rows (with ``n``) of the sets that share enough posted shingles, and lists that still join two of them.
+        """Members (with ``n`` and ``ord``) whose sets share enough posted shingles, in lists that still join two, with their leaders.
 
-        Adds ``shared`` (posted shingles that some other set posted too) and ``rest`` (t(n) - k(n)).  If all common
-        shingles that x posted are posted by y, the overlap is n_x less the posted shingles that y lacks, so
-        at most shared_x + rest_x; else every posted shingle of y comes before one of x's, and the same holds with
-        rest_y.  So two sets overlap in no more than the smaller ``shared`` and the larger ``rest``.
+        Adds ``shared`` (posted shingles that some other set posted too), ``room`` (what lists may have lost to shingles
+        posted by 32 bits that fell together), ``rest`` (shingles not posted), ``alone`` and ``k``; and of each list
+        ``central``, the set with the fewest shingles of its own (an original has none, its copies have those of
+        their edits), and ``early``, that of the first document.
         """
         p = self.percent
         need = F.ceil(F.col("n") * p / 100)
         extra = F.greatest(F.lit(K), F.floor(F.col("n") / self.extra))
-        least = F.greatest(F.lit(K), F.floor(F.floor(F.col("n") * p / 100) / self.extra))
-        sums = flat.groupBy("sig", "n").agg(F.sum("mult").alias("shared"))
-        # shingles are posted by 32 bits within a block; leave room for those that fell together
-        room = F.floor((F.col("n") - need + extra) / 2048)
-        good = sums.where(F.col("shared") + room >= F.least(least, F.col("n")))
+        least = F.least(F.greatest(F.lit(K), F.floor(F.floor(F.col("n") * p / 100) / self.extra)), F.col("n"))
         posted = F.least(F.col("n"), F.col("n") - need + extra)
-        good = good.select("sig", (F.col("shared") + room).alias("shared"), (need - extra).alias("rest"), F.greatest(F.lit(0), posted - F.col("shared")).alias("alone"), F.least(least, F.col("n")).alias("k"))
-        held = self.scratch.keep(flat.join(good, "sig").drop("size"), "enough")
-        sizes = held.groupBy("lh").agg(F.count("*").alias("size")).where("size > 1").select("lh")
-        return self.scratch.keep(held.join(sizes, "lh", "left_semi"), "members")
+        held = flat.withColumn("shared", F.sum("mult").over(Window.partitionBy("sig")))
+        held = held.withColumns({"posted": posted, "k": least.cast("long"), "room": F.floor(posted / 2048)}).where("shared + room >= k")
+        held = held.select("lh", "mult", "sig", "n", "ord", "shared", "room", (F.col("n") - F.col("posted")).alias("rest"), F.greatest(F.lit(0), F.col("posted") - F.col("shared")).alias("alone"), "k")
+        held = self.scratch.keep(held, "enough")
+        # few of its own, many shared, then any: one number
+        clip = lambda c: F.least(F.col(c), F.lit(65535)).cast("long")
+        worth = F.shiftleft(clip("alone"), 46) + F.shiftleft(65535 - clip("shared"), 30) + F.pmod(F.hash("sig"), F.lit(1 << 30))
+        lead = held.groupBy("lh").agg(F.count("*").alias("size"), F.min(worth).alias("worth"), F.min_by("sig", worth).alias("central"), F.min("ord").alias("first"), F.min_by("sig", "ord").alias("early"))
+        return self.scratch.keep(held.join(lead.where("size > 1").drop("size"), "lh"), "members")
 
     # 4 ---------------------------------------------------------------------------------------------------------
     def combine(self, rows: DataFrame) -> DataFrame:
-        """Replace long lists (rows lh, mult, centre, component, shared, rest, n) by lists of those that share two of them."""
-        sizes = rows.groupBy("lh").agg(F.count("*").alias("size"))
-        rows = self.scratch.keep(rows.join(sizes, "lh"), "live")
-        long = rows.where(F.col("size") > LONG_LIST)
-        own = ["centre", "component", "shared", "rest", "n"]
-        if long.limit(1).count() == 0:
-            return rows.select("lh", *own)
-        held = long.groupBy("centre", "component").agg(F.max("shared").alias("shared"), F.max("rest").alias("rest"), F.min("n").alias("n"), F.sort_array(F.collect_set(F.struct("lh", "mult"))).alias("of"))
-        held = held.where((F.size("of") > 1) | (F.element_at("of", 1)["mult"] > 1))
-        one = held.select(*own, "of", F.posexplode("of").alias("i", "x"))
-        second = F.expr("filter(transform(of, (o, j) -> case when j > i or (j = i and o.mult > 1) then o.lh end), o -> o is not null)")
-        combos = one.select(*own, F.col("x.lh").alias("x"), F.explode(second).alias("y")).select(F.xxhash64("x", "y").alias("lh"), *own)
-        return self.scratch.keep(rows.where(F.col("size") <= LONG_LIST).select("lh", *own).unionByName(combos), "combined")
+        """Replace frequent lists (rows lh, size, mult, centre, component, left, rest, n, top) by lists of those that share two of them."""
+        own = ["centre", "component", "left", "rest", "n", "top"]
+        rare = rows.where(F.col("size") <= LONG_LIST).select("lh", *own)
+        frequent = rows.where(F.col("size") > LONG_LIST)
+        held = frequent.groupBy("centre", "component").agg(F.max("rest").alias("rest"), F.min("n").alias("n"), F.max("top").alias("top"), F.sort_array(F.collect_list(F.struct("size", "lh", "left", "mult"))).alias("of"))
+        one = held.select("centre", "component", "rest", "n", "top", "of", F.posexplode("of").alias("i", "x"))
+        second = F.expr("filter(transform(of, (o, j) -> case when j > i or (j = i and o.mult > 1) then struct(o.lh as lh, if(j = i, o.left, least(x.left, x.mult + o.left)) as left) end), o -> o is not null)")
+        combos = one.select("centre", "component", "rest", "n", "top", F.col("x.lh").alias("x"), F.explode(second).alias("y"))
+        # between a pair's first two common lists, too, either has what the other lacks
+        combos = combos.select("centre", "component", F.col("y.left").alias("left"), "rest", "n", "top", "x", F.col("y.lh").alias("y"))
+        return rare.unionByName(combos.select(F.xxhash64("x", "y").alias("lh"), *own))
 
     # 5 ---------------------------------------------------------------------------------------------------------
     def sets(self, wanted: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
@@ -266,11 +290,11 @@ class ShingleJoin:
         self.kept_sets = self.scratch.keep(picked.mapInArrow(work, "sig long, n int, tokens binary, bins binary"), "sets")
         return self.kept_sets
 
-    def verify(self, pairs: DataFrame, tag: str, least) -> DataFrame:
+    def verify(self, pairs: DataFrame, tag: str, least, rough: bool = True) -> DataFrame:
         """Exact overlap of the pairs (a, b) whose Jaccard is ``least`` percent or more -> a, b, na, nb, common.
 
         A histogram of hash bits of each set bounds the overlap from above; only pairs that pass it meet their
-        whole sets.
+        whole sets.  Pairs that mostly link go without it (``rough``).
         """
         side = lambda x, what: self.kept_sets.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col(what).alias(f"t{x}"))
 
@@ -303,70 +327,79 @@ class ShingleJoin:
 
         names = ["a", "b", "least", "na", "nb", "ta", "tb"]
         pairs = pairs.select("a", "b", least.cast("double").alias("least"))
-        rough = pairs.join(side("b", "bins"), "b").join(side("a", "bins"), "a").select(*names)
-        rough = self.scratch.keep(rough.mapInArrow(bound, "a long, b long, least double"), f"{tag}-bound")
-        joined = rough.join(side("b", "tokens"), "b").join(side("a", "tokens"), "a").select(*names)
+        if rough:
+            pairs = pairs.join(side("b", "bins"), "b").join(side("a", "bins"), "a").select(*names)
+            pairs = self.scratch.keep(pairs.mapInArrow(bound, "a long, b long, least double"), f"{tag}-bound")
+        joined = pairs.join(side("b", "tokens"), "b").join(side("a", "tokens"), "a").select(*names)
         return self.scratch.keep(joined.mapInArrow(work, "a long, b long, na int, nb int, common long"), tag)
 
     def at_least(self, percent: float):
         """Jaccard of a verified pair >= percent / 100."""
         return F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent
 
-    def groups(self, flat: DataFrame) -> DataFrame:
-        """Connected groups of the sets in the members table (lh, sig, n, ord, mult, size) -> (id, component) of sets."""
-        # every set against leaders of its lists: the one with the fewest shingles of its own (an original has none, its copies
-        # have those of their edits), and the first document
-        flat = flat.withColumn("held", -F.col("shared"))
-        best = F.struct("alone", "held", "ord", "sig")
-        lead = flat.groupBy("lh").agg(F.min(best).alias("central"), F.min(F.struct("ord", "sig")).alias("early"))
-        near_by = flat.join(lead, "lh").groupBy("sig").agg(F.min("central").alias("central"), F.min("early").alias("early"))
-        first = near_by.select(F.col("sig").alias("b"), F.explode(F.array("central.sig", "early.sig")).alias("a")).where("a <> b").distinct()
-        tried = self.verify(first, "leaders", F.lit(self.percent))
+    def groups(self, members: DataFrame) -> DataFrame:
+        """Connected groups of the sets in the members table -> (id, component) of sets."""
+        # every set against leaders of its lists
+        near_by = members.groupBy("sig").agg(F.min_by("central", "worth").alias("central"), F.min_by("early", "first").alias("early"))
+        first = near_by.select(F.col("sig").alias("b"), F.explode(F.array_distinct(F.array("central", "early"))).alias("a")).where("a <> b")
+        tried = self.verify(first, "leaders", F.lit(self.percent), rough=False)
         good = tried.where(self.at_least(self.percent)).select("a", "b")
         comp = self.scratch.keep(components(self.spark, good, self.scratch), "comp")
-
-        def apart(df: DataFrame, x: str, y: str) -> DataFrame:
-            """Pairs whose ends aren't connected yet."""
-            for c in (x, y):
-                df = df.join(comp.select(F.col("id").alias(c), F.col("component").alias(f"g_{c}")), c, "left").withColumn(f"g_{c}", F.coalesce(f"g_{c}", c))
-            return df.where(F.col(f"g_{x}") != F.col(f"g_{y}")).drop(f"g_{x}", f"g_{y}")
-
         centre_of = good.groupBy(F.col("b").alias("sig")).agg(F.min("a").alias("centre"))
-        rows = flat.select("lh", "mult", "sig", "n", "shared", "rest", "k").join(centre_of, "sig", "left").withColumn("centre", F.coalesce("centre", "sig"))
-        rows = rows.join(comp.select(F.col("id").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-        rows = self.scratch.keep(rows, "centred")
-        # lists with members of several groups; of its lists a set needs all but k - 1, the shortest first
+        place = comp.withColumnRenamed("id", "sig").join(centre_of, "sig", "left")
+
+        rows = members.select("lh", "mult", "sig", "n", "room", "rest", "k").join(place, "sig", "left")
+        rows = self.scratch.keep(rows.withColumns({"centre": F.coalesce("centre", "sig"), "component": F.coalesce("component", "sig")}), "centred")
+        # lists with members of several groups; of its lists a set needs all but the last k - 1, one more among frequent ones
         open_lists = rows.groupBy("lh").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("lh", "size")
         of_set = Window.partitionBy("sig")
         in_turn = of_set.orderBy("size", "lh").rowsBetween(Window.unboundedPreceding, -1)
         rows = rows.join(open_lists, "lh").withColumns({"all": F.sum("mult").over(of_set), "before": F.coalesce(F.sum("mult").over(in_turn), F.lit(0))})
-        rows = rows.where("before <= all - k + 1")
+        rows = rows.where(F.col("before") <= F.col("all") - F.col("k") + F.col("room") + (F.col("size") > LONG_LIST).cast("long"))
         # members with one leader and group stand together, with the bounds of the best of them
-        rows = rows.groupBy("lh", "centre", "component").agg(F.max("mult").alias("mult"), F.max("shared").alias("shared"), F.max("rest").alias("rest"), F.min("n").alias("n"))
-        short = self.combine(rows)
+        left = F.col("all") - F.col("before") + F.col("room")
+        rows = rows.groupBy("lh", "size", "centre", "component").agg(F.max("mult").alias("mult"), F.max(left).alias("left"), F.max("rest").alias("rest"), F.min("n").alias("n"), F.max("n").alias("top"))
+        short = self.scratch.keep(self.combine(self.scratch.keep(rows, "live")), "short")
 
         def side(name: str) -> DataFrame:
             return short.select([F.col(c).alias(c if c == "lh" else f"{name}_{c}") for c in short.columns])
 
-        common = F.least("a_shared", "b_shared") + F.greatest("a_rest", "b_rest")
+        common = F.least("a_left", "b_left") + F.greatest("a_rest", "b_rest")
         able = common * (100 + self.percent) >= (F.col("a_n") + F.col("b_n")) * self.percent
+        able &= (F.col("a_top") * 100 >= F.col("b_n") * self.percent) & (F.col("b_top") * 100 >= F.col("a_n") * self.percent)
         apart_now = (F.col("a_centre") < F.col("b_centre")) & (F.col("a_component") != F.col("b_component"))
         pairs = side("a").alias("x").join(side("b").alias("y"), (F.col("x.lh") == F.col("y.lh")) & apart_now & able)
         between = pairs.select(F.col("a_centre").alias("a"), F.col("b_centre").alias("b")).distinct()
-        stands = centre_of.select(F.col("centre").alias("a")).distinct()
+        stands = self.scratch.keep(centre_of.select(F.col("centre").alias("a")).distinct(), "stands")
         between = between.join(stands.select("a", F.lit(1).alias("sa")), "a", "left").join(stands.select(F.col("a").alias("b"), F.lit(1).alias("sb")), "b", "left")
         between = between.select("a", "b", (F.coalesce("sa", F.lit(0)) + F.coalesce("sb", F.lit(0))).alias("stand"))
         met = self.verify(between, "between", F.when(F.col("stand") == 0, self.percent).when(F.col("stand") == 1, self.near).otherwise(self.leaders_near))
-        links = good.unionByName(met.where(self.at_least(self.percent)).select("a", "b"))
-        comp = self.scratch.keep(components(self.spark, links, self.scratch), "comp")
+        comp = self.joined(comp, met.where(self.at_least(self.percent)).select("a", "b"))
 
         # what the metric leaves open between groups that aren't connected
-        maybe = self.scratch.keep(apart(met.where(~self.at_least(self.percent)).select("a", "b"), "a", "b"), "open")
+        maybe = self.scratch.keep(self.lifted(comp, met.where(~self.at_least(self.percent)).select("a", "b")).select("a", "b"), "open")
         if maybe.limit(1).count():
-            links = links.unionByName(self.between_clusters(maybe, centre_of))
-            comp = self.scratch.keep(components(self.spark, links, self.scratch), "comp")
+            comp = self.joined(comp, self.between_clusters(maybe, centre_of))
         return comp
 
+    def lifted(self, comp: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose ends aren't connected yet, with their groups u and v."""
+        for c, g in (("a", "u"), ("b", "v")):
+            pairs = pairs.join(comp.select(F.col("id").alias(c), F.col("component").alias(g)), c, "left").withColumn(g, F.coalesce(g, c))
+        return pairs.where("u <> v")
+
+    def joined(self, comp: DataFrame, links: DataFrame) -> DataFrame:
+        """Groups after more links: only the groups that these join are worked on."""
+        new = self.scratch.keep(self.lifted(comp, links).select(F.col("u").alias("a"), F.col("v").alias("b")).distinct(), "joins")
+        if not new.limit(1).count():
+            return comp
+        over = self.scratch.keep(components(self.spark, new, self.scratch), "over")
+        over = over.unionByName(over.select(F.col("component").alias("id"), "component").distinct()).distinct()
+        moved = comp.join(over.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+        moved = moved.select("id", F.coalesce("to", "component").alias("component"))
+        # groups that were single sets until now, or whose least set is no row of its own
+        return self.scratch.keep(moved.unionByName(over).groupBy("id").agg(F.min("component").alias("component")), "comp")
+
     def between_clusters(self, maybe: DataFrame, centre_of: DataFrame) -> DataFrame:
         """Links between the clusters of leaders a and b (a leader, and the sets that link with it).
 
