@@ -58,6 +58,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def hidden(docs: DataFrame, *shown: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with every column but ``shown`` renamed, so that no name of ours clashes, and its names as they are then.
+
+    The names of the second value stand in the order of ``docs.columns``.
+    """
+    names = [c if c in shown else f"__x{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def long_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col(name).cast("long"))
 

@@ -7,7 +7,9 @@ number) order stays and all later ones are removed.  Lines without words stay.
 
 Defined results: a null text has no line and stays null; an empty text is one empty line; repeated doc_ids are ordered by
 the hash of their text and then taken as one document's copies, so that of repeated rows the first keeps its lines; rows
-without doc_id come after all others; an empty table gives an empty result.
+without doc_id come after all others; a very long text is worked on line by line in pieces of bounded size, its lines are
+all compared; ties don't arise, as reading order is total; columns of the input named like ours (``row``, ``sig`` and the like) pass
+through untouched, but for n_lines and n_removed, which are written anew; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 
 from .shingle_join import ShingleJoin
 
+#: Rows whose texts a task rewrites at a time.
+SLICE = 500
+
 
 def removed_lines(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """docs: (row long, unique and ascending in reading order; text) -> (row, line) of every line to remove."""
@@ -27,7 +32,7 @@ def removed_lines(spark: SparkSession, docs: DataFrame, percent: int = 75, width
     first_row = F.when(F.col("fresh"), F.col("row"))  # of its set, one line of a row is fresh: the first
     sets = lines.groupBy("sig").agg(F.min("row").alias("ord"), F.min_by("line", first_row).alias("line"), F.count("*").alias("copies"), F.first("n").alias("n"))
     sets = scratch.keep(sets, "sets")
-    members = join.enough(join.lists().join(sets.select("sig", "ord", "n").hint("shuffle_hash"), "sig"))
+    members = join.enough(join.lists(), sets)
     asked = members.select("sig").distinct()
     join.sets(sets.join(asked, "sig", "left_semi").select("sig", F.col("ord").alias("row"), "line"))
     comp = join.groups(members).withColumnRenamed("id", "sig")
@@ -41,18 +46,19 @@ def removed_lines(spark: SparkSession, docs: DataFrame, percent: int = 75, width
 
 def line_dedup(spark: SparkSession, docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """The input's columns with ``text`` rewritten, plus n_lines, n_removed."""
-    from .common import Scratch
+    from .common import Scratch, hidden
 
     scratch = Scratch(spark, "line-rows")
-    numbered, rows = with_rows(scratch, docs)
+    named = docs.drop("n_lines", "n_removed")
+    inner, own = hidden(named, "doc_id", "text")
+    numbered, rows = with_rows(scratch, inner)
     gone = removed_lines(spark, rows, percent, width)
-    by_row = gone.groupBy("row").agg(F.collect_set("line").alias("__gone"))
+    by_row = gone.groupBy("row").agg(F.collect_list("line").alias("__gone"))
     joined = numbered.join(by_row.hint("shuffle_hash"), "row", "left").drop("row")
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     at = own.index("text")
 
     def cut(batches):
-        for b in batches:
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             texts, n, m = [], [], []
             for text, drop in zip(b.column(at).to_pylist(), b.column(len(own)).to_pylist(), strict=True):
                 if text is None:
@@ -69,8 +75,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, percent: int = 75, width: i
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(m, pa.int64())], [*own, "n_lines", "n_removed"])
 
-    schema = docs.select(*own).schema.add("n_lines", "long").add("n_removed", "long")
-    return joined.select(*own, "__gone").mapInArrow(cut, schema)
+    schema = inner.withColumn("text", F.col("text").cast("string")).schema.add("n_lines", "long").add("n_removed", "long")
+    out = joined.select(*[F.col(c).cast("string") if c == "text" else c for c in own], "__gone").mapInArrow(cut, schema)
+    return out.toDF(*named.columns, "n_lines", "n_removed")
 
 
 def with_rows(scratch, docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -25,7 +25,7 @@ def ngram_groups(spark: SparkSession, docs: DataFrame, percent: int = 75, width:
     all_units = join.count().select("row", "n", "sig")
     sets = all_units.where("n > 0 and row is not null").groupBy("sig").agg(F.min("row").alias("ord"), F.first("n").alias("n"))
     sets = scratch.keep(sets, "sets")
-    members = join.enough(join.lists().join(sets.hint("shuffle_hash"), "sig"))
+    members = join.enough(join.lists(), sets)
     join.sets(members.select("sig", F.col("ord").alias("row")).distinct().withColumn("line", F.lit(0)))
     comp = join.groups(members)
 

@@ -78,6 +78,8 @@ class ShingleJoin:
                     if lines:
                         order = np.lexsort((number, sig, rows))
                         fresh[order[1:]] = (sig[order[1:]] != sig[order[:-1]]) | (rows[order[1:]] != rows[order[:-1]])
+                        some = n > 0  # lines without words take no part
+                        rows, number, n, sig, fresh = rows[some], number[some], n[some], sig[some], fresh[some]
                     m = len(rows)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(a + rows)), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig), pa.array(fresh), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
             own = total.reshape(SLICES, wide)
@@ -213,11 +215,10 @@ class ShingleJoin:
 
         posted = self.docs.mapInArrow(post, "block long, blob binary")
         found = self.scratch.keep(posted.groupBy("block").applyInArrow(gather, "lh long, sig long, mult long"), "lists")
-        # dealt by set, which is what the next steps ask for
-        return found.repartition("sig").groupBy("sig", "lh").agg(F.sum("mult").alias("mult"))
+        return found
 
-    def enough(self, flat: DataFrame) -> DataFrame:
-        """Members (with ``n`` and ``ord``) whose sets share enough posted shingles, in lists that still join two, with their leaders.
+    def enough(self, flat: DataFrame, sets: DataFrame) -> DataFrame:
+        """Members (with ``n`` and ``ord`` of the sets) whose sets share enough posted shingles, in lists that still join two, with their leaders.
 
         Adds ``shared`` (posted shingles that some other set posted too), ``room`` (what lists may have lost to shingles
         posted by 32 bits that fell together), ``rest`` (shingles not posted), ``alone`` and ``k``; and of each list
@@ -229,8 +230,10 @@ class ShingleJoin:
         extra = F.greatest(F.lit(K), F.floor(F.col("n") / self.extra))
         least = F.least(F.greatest(F.lit(K), F.floor(F.floor(F.col("n") * p / 100) / self.extra)), F.col("n"))
         posted = F.least(F.col("n"), F.col("n") - need + extra)
-        held = flat.withColumn("shared", F.sum("mult").over(Window.partitionBy("sig")))
+        held = flat.withColumn("shared", F.sum("mult").over(Window.partitionBy("sig"))).join(sets.select("sig", "ord", "n").hint("shuffle_hash"), "sig")
         held = held.withColumns({"posted": posted, "k": least.cast("long"), "room": F.floor(posted / 2048)}).where("shared + room >= k")
+        # equal lists of several blocks collapse
+        held = held.groupBy("sig", "lh").agg(F.sum("mult").alias("mult"), *[F.first(c).alias(c) for c in ("n", "ord", "shared", "room", "posted", "k")])
         held = held.select("lh", "mult", "sig", "n", "ord", "shared", "room", (F.col("n") - F.col("posted")).alias("rest"), F.greatest(F.lit(0), F.col("posted") - F.col("shared")).alias("alone"), "k")
         held = self.scratch.keep(held, "enough")
         # few of its own, many shared, then any: one number
@@ -254,12 +257,13 @@ class ShingleJoin:
         return rare.unionByName(combos.select(F.xxhash64("x", "y").alias("lh"), *own))
 
     # 5 ---------------------------------------------------------------------------------------------------------
-    def sets(self, wanted: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
+    def sets(self, wanted: DataFrame, broadcast_bytes: int = 8 << 20) -> DataFrame:
         """Shingle sets (sig, n, tokens, bins: histogram of hash bits) of wanted units (sig, row, line), read again from the texts."""
         lines, width = self.lines, self.width
-        by_row = wanted.groupBy("row").agg(F.collect_set("line").alias("lines"))
+        by_row = wanted.groupBy("row").agg(F.collect_list("line").alias("lines"))
         by_row = self.scratch.keep(by_row, "wanted")
-        few = by_row.count() <= broadcast_rows
+        rows, places = by_row.agg(F.count("*"), F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()
+        few = 24 * rows + 4 * places <= broadcast_bytes
         picked = self.docs.join(F.broadcast(by_row) if few else by_row, "row").select("row", "text", "lines")
 
         n_bins = self.bins
@@ -352,13 +356,11 @@ class ShingleJoin:
         rows = self.scratch.keep(rows.withColumns({"centre": F.coalesce("centre", "sig"), "component": F.coalesce("component", "sig")}), "centred")
         # lists with members of several groups; of its lists a set needs all but the last k - 1, one more among frequent ones
         open_lists = rows.groupBy("lh").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("lh", "size")
-        of_set = Window.partitionBy("sig")
-        in_turn = of_set.orderBy("size", "lh").rowsBetween(Window.unboundedPreceding, -1)
-        rows = rows.join(open_lists, "lh").withColumns({"all": F.sum("mult").over(of_set), "before": F.coalesce(F.sum("mult").over(in_turn), F.lit(0))})
-        rows = rows.where(F.col("before") <= F.col("all") - F.col("k") + F.col("room") + (F.col("size") > LONG_LIST).cast("long"))
+        onward = Window.partitionBy("sig").orderBy(F.desc("size"), F.desc("lh")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.join(open_lists, "lh").withColumn("left", F.sum("mult").over(onward) + F.col("room"))  # in this list and those after it
+        rows = rows.where(F.col("left") + (F.col("size") > LONG_LIST).cast("long") >= F.col("k"))
         # members with one leader and group stand together, with the bounds of the best of them
-        left = F.col("all") - F.col("before") + F.col("room")
-        rows = rows.groupBy("lh", "size", "centre", "component").agg(F.max("mult").alias("mult"), F.max(left).alias("left"), F.max("rest").alias("rest"), F.min("n").alias("n"), F.max("n").alias("top"))
+        rows = rows.groupBy("lh", "size", "centre", "component").agg(F.max("mult").alias("mult"), F.max("left").alias("left"), F.max("rest").alias("rest"), F.min("n").alias("n"), F.max("n").alias("top"))
         short = self.scratch.keep(self.combine(self.scratch.keep(rows, "live")), "short")
 
         def side(name: str) -> DataFrame:

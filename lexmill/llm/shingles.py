@@ -31,6 +31,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Masks of the first 0 to 8 bytes of a little-endian 64-bit word.
 _MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+_SIZE = np.arange(33, dtype=np.uint64) * _U(0xC2B2AE3D27D4EB4F)
 _PLACE = mix(np.arange(1, 33, dtype=np.uint64) * _U(0xA24BAED4963EE407)) | _U(1)
 
 
@@ -98,17 +99,22 @@ def units(data: np.ndarray, offsets: np.ndarray, lines: bool, width: int = 5):
         w[more] = mix(w[more] * _U(0xA0761D6478BD642F) + part)
         at += 8
         more = more[sizes[more] > at]
-    unit = np.searchsorted(begins, starts, "right") - 1
-    per = np.bincount(unit, minlength=len(rows))
-    ends = np.cumsum(per)
-    left = ends[unit] - np.arange(len(w))
-    s = w * _PLACE[0]
-    for k in range(1, width):
-        s[:-k] += (w[k:] * _PLACE[k]) * (left[:-k] > k)
-    short = (per[unit] < width) & (left == per[unit])
-    keep = (left >= width) | short
-    s = s + np.minimum(left, width).astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F)
-    return rows, number, unit[keep], mix(s[keep])
+    first = np.searchsorted(starts, begins)  # of each unit's words
+    per = np.diff(first, append=len(starts))
+    unit = np.repeat(np.arange(len(rows)), per)
+    m = max(0, len(w) - width + 1)  # places with `width` words ahead, in this unit or the next
+    s = np.zeros(m, np.uint64)
+    for k in range(width):
+        s += w[k : k + m] * _PLACE[k]
+    whole = unit[:m] == unit[width - 1 : width - 1 + m]
+    s, of = s[whole] + _SIZE[width], unit[:m][whole]
+    short = np.flatnonzero((per > 0) & (per < width))  # units with fewer words: all of them are the one shingle
+    if len(short):
+        t = _SIZE[per[short]]
+        for k in range(width - 1):
+            t += np.where(per[short] > k, w[np.minimum(first[short] + k, len(w) - 1)] * _PLACE[k], _U(0))
+        s, of = np.concatenate([s, t]), np.concatenate([of, short])
+    return rows, number, of, mix(s)
 
 
 def distinct(unit: np.ndarray, tokens: np.ndarray, rank: np.ndarray | None = None):
