@@ -18,7 +18,8 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
 
 Defined results: a null text is empty: nothing removed; repeated rows are each other's copies, so their windows are
 all removed, and so are those of repeated doc_ids, each row on its own; texts shorter than ``length`` stay whole;
-an empty table gives an empty result.
+texts of any length are judged whole; columns of the input named like ours pass through untouched, but for n_removed, which is
+written anew; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -373,21 +374,23 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES, digest: bool = False) -> DataFrame:
-    """Remove what repeats.  With ``digest``: doc_id, n_bytes, n_removed, n_spans, kept_sha256; else the input's columns with
-    ``text`` rewritten (bytes that a cut inside a letter leaves over are dropped), plus n_removed."""
-    from .line_dedup import with_rows
+def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES, digest: bool = False, with_text: bool = False) -> DataFrame:
+    """Remove what repeats.  With ``digest``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, text; else the
+    input's columns plus n_removed.  ``text`` is what is left of the text (bytes that a cut inside a letter leaves over are dropped)."""
+    from .common import hidden
+    from .line_dedup import SLICE, with_rows
 
     scratch = Scratch(spark, "repeats-rows")
-    numbered, rows = with_rows(scratch, docs.select("doc_id", "text") if digest else docs)
+    named = docs.select("doc_id", "text") if digest else docs.drop("n_removed")
+    inner, own = hidden(named, "doc_id", "text")
+    numbered, rows = with_rows(scratch, inner)
     spans = repeated_spans(spark, rows, length, gram, index_bytes)
     by_row = spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
-    own = ["doc_id", "text"] if digest else [c for c in docs.columns if c != "n_removed"]
-    joined = numbered.join(by_row, "row", "left").select(*own, "__spans")
+    joined = numbered.join(by_row.hint("shuffle_hash"), "row", "left").select(*[F.col(c).cast("string") if c == "text" else c for c in own], "__spans")
     at = own.index("text")
 
     def cut(batches):
-        for b in batches:
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             out: list[list] = [[], [], [], [], []]
             for text, spans in zip(b.column(at).to_pylist(), b.column(len(own)).to_pylist(), strict=True):
                 raw = (text or "").encode()
@@ -402,13 +405,15 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, gram:
                 for col, v in zip(out, values, strict=True):
                     col.append(v)
             if digest:
-                cols = [b.column(0).cast(pa.int64()), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                cols = [b.column(own.index("doc_id")).cast(pa.int64()), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string()), pa.array(out[4], pa.string())]
+                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+                yield pa.RecordBatch.from_arrays(cols if with_text else cols[:5], names if with_text else names[:5])
             else:
                 cols = list(b.columns[: len(own)])
                 cols[at] = pa.array(out[4], pa.string())
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(out[1], pa.int64())], [*own, "n_removed"])
 
     if digest:
-        return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return joined.mapInArrow(cut, docs.select(*own).schema.add("n_removed", "long"))
+        return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
+    schema = inner.withColumn("text", F.col("text").cast("string")).schema.add("n_removed", "long")
+    return joined.mapInArrow(cut, schema).toDF(*named.columns, "n_removed")
