@@ -1,18 +1,19 @@
 """Best-fit packing of tokenised documents into fixed-length training sequences.
 
 Method: bulk-synchronous best fit.  Documents are cut into pieces of at most ``capacity`` tokens and ranked by one
-salted, distributed range sort on length.  Pieces of equal length and sequences with equal room are
-interchangeable, so both sorted lists are kept run-length coded: a run is (width, first rank, count).  Every
-round sweeps the two sorted lists in ascending width: each gap is offered to the longest waiting run that fits it (the
+range sort on (length, hash), so that pieces of one length, full ones above all, spread over many partitions.  Pieces of
+equal length and sequences with equal room are interchangeable, so both sorted lists are kept run-length coded: a run
+is (width, first rank, count).  Every round range-sorts the runs of pieces and gaps into bands of width and sweeps the
+bands side by side in ascending width: each gap is offered to the longest waiting run that fits it (the
 successor search seen from the gap), conflicts between pieces that share a successor are settled by rank
-(longest first, then lowest rank), matched gaps shrink, and the next round begins.  Sequences are opened only for
-what no open gap can take.  Rounds are Spark jobs over the run tables; once there are more than
-``single_sweep_runs`` runs they are swept in range bands with a carry sweep for what a band could not place.  The last
+(longest first, then lowest rank), matched gaps shrink, and the next round begins.  Pieces of a gap's own band are longer than
+those of lower bands, so a carry sweep over what the bands could not place ends with the matches of one long sweep,
+however many bands there are.  Sequences are opened only for what no open gap can take.  The last
 step is an equi-join of pieces with their run.  Nothing about single documents reaches the driver.
 
 Defined results: a null text is an empty document (its end id alone); repeated rows and repeated doc_ids are
-packed as separate documents; null doc_ids are kept; an empty table gives an empty result; columns other than
-doc_id and text are ignored.
+packed as separate documents, in the order of their hashes; null doc_ids are kept; very long texts give as many full pieces as
+they need; an empty table gives an empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from .common import Scratch
 from .vocab import encoder
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_SALTS = 64
+#: Bands that a round is swept in, at least.
+BANDS = 8
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
@@ -142,21 +144,25 @@ def _round(state: DataFrame, capacity: int, next_bin: int, bands: int) -> DataFr
         names = ["kind", "width", "first", "count", "room", "bin", "per"]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string() if i == 0 else pa.int64()) for i in range(7)], names)
 
-    if bands > 1:
-        state = state.repartitionByRange(bands, "width", "first").mapInArrow(lambda it: local(it, False), _RUN)
-    return state.coalesce(1).mapInArrow(local, _RUN)
+    banded = state.repartitionByRange(bands, "width", "first").mapInArrow(lambda it: local(it, False), _RUN)
+    return banded.coalesce(1).mapInArrow(local, _RUN)
 
 
 def pack(spark: SparkSession, cut: DataFrame, capacity: int = 1024, single_sweep_runs: int = 100_000, broadcast_runs: int = 100_000) -> DataFrame:
     """Place pieces (``doc_id``, ``piece``, ``length``, ...) -> the same rows with ``sequence_id`` and ``offset``."""
     scratch = Scratch(spark, "pack")
-    cut = scratch.keep(cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(_SALTS)).cast("int")), "pieces")
-    sizes = cut.groupBy("length", "salt").agg(F.count("*").alias("n"))  # at most capacity x salts rows
+    own = cut.columns
+    # the range sort: hashes cut a length that many pieces share, places in a partition are counted by the ids Spark gives
+    cut = scratch.keep(cut.withColumn("__h", F.xxhash64("doc_id", "piece", "ids_crc32")), "pieces")
+    order = ["length", "__h"]
+    ranged = cut.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__p": F.spark_partition_id(), "__i": F.monotonically_increasing_id()})
+    ranged = scratch.keep(ranged.drop("__h"), "ranged")
+    sizes = ranged.groupBy("__p", "length").agg(F.count("*").alias("n"), F.min("__i").alias("__first"))  # a row for each length and each partition
     sizes = scratch.keep(sizes.coalesce(1), "sizes")
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    by_rank = Window.partitionBy("length", "salt").orderBy("doc_id", "piece")
-    ranked = cut.withColumn("r", F.row_number().over(by_rank)).join(F.broadcast(offsets), ["length", "salt"]).withColumn("rank", F.col("base") + F.col("r") - 1)
+    before = Window.partitionBy("length").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__p", "length", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("__first")).alias("__base"))
+    few = sizes.count() <= broadcast_runs
+    ranked = ranged.join(F.broadcast(offsets) if few else offsets, ["__p", "length"]).withColumn("rank", F.col("__base") + F.col("__i"))
 
     none = F.lit(0).cast("long")
     state = sizes.groupBy("length").agg(F.sum("n").alias("n")).select(
@@ -165,7 +171,7 @@ def pack(spark: SparkSession, cut: DataFrame, capacity: int = 1024, single_sweep
     rounds: list[DataFrame] = []
     next_bin, runs = 0, 0
     while True:
-        bands = -(-runs // single_sweep_runs)
+        bands = max(BANDS, -(-runs // single_sweep_runs))
         done = scratch.keep(_round(state, capacity, next_bin, bands), "round")
         rounds.append(done.where("kind = 'match'"))
         facts = done.groupBy("kind").agg(F.count("*").alias("n"), F.max("width").alias("w")).collect()
@@ -184,7 +190,7 @@ def pack(spark: SparkSession, cut: DataFrame, capacity: int = 1024, single_sweep
     placed = ranked.join(right, (F.col("length") == F.col("width")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("count")))
     k = F.col("rank") - F.col("first")
     return placed.select(
-        *[c for c in cut.columns if c != "salt"],
+        *own,
         (F.col("bin") + F.floor(k / F.col("per"))).cast("long").alias("sequence_id"),
         (F.lit(capacity) - F.col("room") + (k % F.col("per")) * F.col("length")).cast("long").alias("offset"),
     )
