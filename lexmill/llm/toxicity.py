@@ -8,9 +8,10 @@ around matches in documents labelled clean that documents labelled toxic hardly
 matches inside them.  A document's features are its summed weight and that weight over the
 square root of its length in words; a logistic curve over both, fitted on the same sample, gives the score.
 
-Defined results: a null text is an empty text and gets the score of a text without matches; without labels the
+Texts of any length are read whole.  Defined results: a null text is an empty text and gets the score of a text without matches; without labels the
 learned lexicon is empty and only given entries count; repeated rows get equal scores; an empty table gives an
-empty result; labels that contradict each other or repeat for one doc_id count each.
+empty result; labels that contradict each other or repeat for one doc_id count each; columns other than doc_id and text are
+ignored, or with ``keep`` passed through (``score`` is written anew).
 """
 
 from __future__ import annotations
@@ -33,17 +34,24 @@ IMITATIONS = {
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
 }
 SHORTEST, LONGEST = 4, 12
+#: Rows whose texts a task holds as strings at a time.
+SLICE = 500
 
 
 def _table() -> dict[int, str]:
     """Translation of Latin, Greek and Cyrillic code points to folded letters; other signs become spaces."""
     table: dict[int, str] = {}
-    for code in [*range(0x250), *range(0x370, 0x530), *range(0xFF01, 0xFF5F)]:
+    letters = [*range(0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000), *range(0x2100, 0x2150), *range(0x2460, 0x2500), *range(0xFF01, 0xFF5F), *range(0x1D400, 0x1D800)]
+    for code in letters:
         ch = chr(code)
         low = unicodedata.normalize("NFKD", ch.lower())
         base = "".join(c for c in low if not unicodedata.combining(c)) or " "
         base = "".join(IMITATIONS.get(c, c) for c in base)
         table[code] = base if base.isalnum() else IMITATIONS.get(ch, " ")
+    for code in [*range(0x2000, 0x2070), *range(0x3000, 0x3004)]:
+        table[code] = " "
+    for code in [0xAD, *range(0x300, 0x370), *range(0x200B, 0x2010), *range(0x2060, 0x2065), *range(0xFE00, 0xFE10), 0xFEFF]:
+        table[code] = ""  # signs without width and combining marks part no word
     return table
 
 
@@ -66,11 +74,11 @@ def starts(text: str) -> set[str]:
     for w in set(text.split()):
         out.update(w[:n] for n in range(SHORTEST, min(len(w), LONGEST) + 1))
         if len(w) >= SHORTEST - 1:
-            out.add(w[:40] + " ")
+            out.add(w + " ")
     return out
 
 
-def pick_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: int, size: int) -> dict[str, float]:
+def pick_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: int) -> dict[str, float]:
     """Entries with clear log-odds; a longer entry is left out if a start of it is as telling."""
     kept: dict[str, float] = {}
     for entry, a, b in counts:
@@ -80,10 +88,10 @@ def pick_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, lea
         if odds >= 2.0 and a / (a + b) >= 0.8:
             kept[entry] = odds
     lean = {e: w for e, w in kept.items() if not any(e[:n] in kept and kept[e[:n]] >= w - 0.5 for n in range(SHORTEST, len(e)))}
-    return dict(sorted(lean.items(), key=lambda x: (-x[1], x[0]))[:size])
+    return dict(sorted(lean.items(), key=lambda x: (-x[1], x[0])))
 
 
-def pick_exceptions(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: int, size: int) -> list[str]:
+def pick_exceptions(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: int) -> list[str]:
     """Phrases around matches that tell a clean document; toxic, clean: documents with matches."""
     kept: dict[str, float] = {}
     for phrase, a, b in counts:
@@ -92,7 +100,7 @@ def pick_exceptions(counts: list[tuple[str, int, int]], toxic: int, clean: int,
         odds = math.log((b + 0.5) / (clean + 1)) - math.log((a + 0.5) / (toxic + 1))
         if odds >= 2.0 and b / (a + b) >= 0.8:
             kept[phrase] = odds
-    return sorted(kept, key=lambda x: (-kept[x], x))[:size]
+    return sorted(kept, key=lambda x: (-kept[x], x))
 
 
 class Matcher:
@@ -176,7 +184,6 @@ def learn(
     labels: DataFrame,
     sample: int = 20_000,
     least: int = 4,
-    size: int = 4000,
     given: dict[str, float] | None = None,
     exceptions: tuple[str, ...] = (),
 ) -> dict:
@@ -187,8 +194,8 @@ def learn(
 
     def count(batches, of=lambda text: starts(fold(text))):
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
                 toxic, clean = Counter(), Counter()
                 for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     (toxic if label else clean).update(of(text or ""))
@@ -199,8 +206,9 @@ def learn(
     n = {r[0]: r[1] for r in texts.groupBy("toxic").count().collect()}
     toxic, clean = sum(v for k, v in n.items() if k), n.get(0, 0)
     counts = texts.mapInArrow(count, "entry string, a long, b long").groupBy("entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    telling = counts.where(F.col("a") >= least).where("a >= 4 * b").orderBy(F.desc("a"), "entry").limit(20 * size).collect()
-    lexicon = pick_lexicon([tuple(r) for r in telling], toxic, clean, least, size) | (given or {})
+    # what the sample's words can tell, all of it: an entry is in `least` toxic documents of the sample or more
+    telling = counts.where(F.col("a") >= least).where("a >= 4 * b").collect()
+    lexicon = pick_lexicon([tuple(r) for r in telling], toxic, clean, least) | (given or {})
     bound = {"lexicon": lexicon, "exceptions": list(exceptions)}
 
     def around(batches):
@@ -210,9 +218,10 @@ def learn(
 
     if lexicon and toxic and clean:
         near = texts.mapInArrow(around, "entry string, a long, b long").groupBy("entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where(F.col("b") >= least).where("b >= 4 * a or entry = ''")
-        near = [tuple(r) for r in near.orderBy(F.col("entry") != "", F.desc("b"), "entry").limit(20 * size).collect()]
-        if near and near[0][0] == "":
-            learned = pick_exceptions(near[1:], near[0][1], near[0][2], least, size)
+        near = {r[0]: (r[0], r[1], r[2]) for r in near.collect()}
+        if "" in near:
+            _, of_toxic, of_clean = near.pop("")
+            learned = pick_exceptions(list(near.values()), of_toxic, of_clean, least)
             bound = bound | {"exceptions": [*exceptions, *learned]}
     matcher = Matcher(lexicon, bound["exceptions"])
 
@@ -249,19 +258,16 @@ def score(docs: DataFrame, model: dict, keep: bool = False) -> DataFrame:
     def work(batches):
         m = matcher_of(model)
         for b in batches:
-            at = b.schema.get_field_index("__text")
-            f = [m.features(t or "") for t in b.column(at).to_pylist()]
+            at = b.schema.get_field_index("text")
+            f: list[tuple[float, float]] = []
+            for i in range(0, b.num_rows, SLICE):
+                f += [m.features(t or "") for t in b.column(at).slice(i, SLICE).cast(pa.string()).to_pylist()]
             s = pa.array([1 / (1 + math.exp(-max(-30.0, min(30.0, curve[0] + curve[1] * x + curve[2] * y)))) for x, y in f], pa.float64())
-            cols = [c for i, c in enumerate(b.columns) if i != at] + [s]
-            yield pa.RecordBatch.from_arrays(cols, [x for i, x in enumerate(b.schema.names) if i != at] + ["score"])
-
-    rows = docs if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.withColumn("__text", F.col("text").cast("string"))
-    if not keep:
-        rows = rows.drop("text")
-    else:
-        rows = rows.drop("score")
-    schema = rows.drop("__text").schema.add("score", "double")
+            keeps = [i for i in range(b.num_columns) if keep or i != at]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keeps), s], [*(b.schema.names[i] for i in keeps), "score"])
+
+    rows = docs.drop("score") if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = rows.drop("" if keep else "text").schema.add("score", "double")  # of a frame of its own: add() changes it
     return rows.mapInArrow(work, schema)
 
 
