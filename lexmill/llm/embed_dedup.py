@@ -1,20 +1,23 @@
 """Embedding near-duplicates by an epsilon grid order join.
 
 Unit vectors with cosine >= t lie within ``eps = sqrt(2 - 2t)``.  Equal vectors of a label collapse first.  The
-rest is rotated to its leading principal directions (second moments summed over all rows), laid on a grid of cell
+rest is rotated to its leading principal directions (second moments summed over all distinct vectors), laid on a grid of cell
 width eps, and sorted by label and cell: the epsilon grid order.  The sorted sequence is cut into intervals; interval
-summaries (bounding boxes in the leading directions) meet in an equi-join on label and first cell, and pairs of
+summaries (bounding boxes in the leading directions) meet in an equi-join on label and the cells of two directions, and pairs of
 intervals that are provably more than eps apart are skipped.  A pair of intervals is joined recursively:
 halves whose boxes are too far apart are dropped, small ones are compared exactly in double precision.  A task
 returns link counts and a spanning forest of what it linked, never its pairs, so the output stays linear.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and rows without a
 label, link with nothing; vectors of different lengths don't link; repeated vec_ids are one row each, joined with
-each other only if their vectors link (component ids are vec_ids); an empty table gives an empty result.
+each other only if their vectors link (component ids are vec_ids); columns other than vec_id, embedding and label are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -89,9 +92,9 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, threshold: float =
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), F.col("label").cast("string").alias("label"))
     good = rows.where(usable(F.col("v")) & F.col("label").isNotNull() & F.exists("v", lambda x: x != 0))
     members = scratch.keep(good.withColumn("key", F.xxhash64("v")).select("vec_id", "v", "label", F.col("key")), "rows")
-    # equal vectors of a label collapse; the smallest vec_id stands for them
-    distinct = members.groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
-    distinct = distinct.withColumn("dim", F.size("v"))
+    # equal vectors of a label collapse to a class, which has a number of its own, as vec_ids may repeat
+    distinct = members.groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    distinct = scratch.keep(distinct.withColumns({"id": F.monotonically_increasing_id(), "dim": F.size("v")}), "classes")
 
     def moments(batches):
         sums: dict[int, np.ndarray] = {}
@@ -100,13 +103,22 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, threshold: float =
             for d in np.unique(sizes):
                 u = unit(matrix(b.column(0).filter(pa.array(sizes == d))))
                 sums[int(d)] = sums.get(int(d), 0) + u.T @ u
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([m.ravel().tolist() for m in sums.values()], pa.list_(pa.float64()))], ["dim", "m"])
+        for d, m in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(d, d), pa.int32()), pa.array(np.arange(d), pa.int32()), pa.array([x.tobytes() for x in m], pa.binary())], ["dim", "line", "m"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for b in batches:
+            total = total + np.frombuffer(b"".join(b.column("m").to_pylist()), np.float64).reshape(b.num_rows, -1).sum(0)
+            own = b.slice(0, 1)
+        yield pa.RecordBatch.from_arrays([own.column("dim"), own.column("line"), pa.array([total.tobytes()], pa.binary())], ["dim", "line", "m"])
 
     axes: dict[int, np.ndarray] = {}
     total: dict[int, np.ndarray] = {}
-    for r in members.select("v", F.size("v").alias("dim")).mapInArrow(moments, "dim int, m array<double>").toLocalIterator():
-        d = r["dim"]
-        total[d] = total.get(d, 0) + np.array(r["m"]).reshape(d, d)
+    shape = "dim int, line int, m binary"
+    parted = distinct.select("v", "dim").mapInArrow(moments, shape)
+    for r in parted.groupBy("dim", "line").applyInArrow(add, shape).collect():  # one matrix for each vector length
+        total.setdefault(r["dim"], np.zeros((r["dim"], r["dim"])))[r["line"]] = np.frombuffer(r["m"], np.float64)
     for d, m in total.items():
         axes[d] = np.linalg.eigh(m)[1][:, ::-1][:, : min(DIRECTIONS, d)]
 
@@ -137,13 +149,13 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, threshold: float =
     sequence = scratch.keep(sequence.withColumn("interval", F.xxhash64("part", "label", "dim", "cut")).drop("part", "cut"), "intervals")
     summary = sequence.groupBy("label", "dim", "interval").agg(*[F.min(c).alias(f"lo_{c}") for c in cells], *[F.max(c).alias(f"hi_{c}") for c in cells])
     left = summary.select("label", "dim", F.col("interval").alias("a"), *[F.col(f"{s}_{c}").alias(f"a{s}_{c}") for c in cells for s in ("lo", "hi")])
-    left = left.withColumn("slab", F.explode(F.sequence(F.col("alo_c0") - 1, F.col("ahi_c0") + 1)))
+    left = left.withColumn("slab", F.explode(F.sequence(F.col("alo_c0") - 1, F.col("ahi_c0") + 1))).withColumn("strip", F.explode(F.sequence(F.col("alo_c1") - 1, F.col("ahi_c1") + 1)))
     right = summary.select("label", "dim", F.col("interval").alias("b"), *[F.col(f"{s}_{c}").alias(f"b{s}_{c}") for c in cells for s in ("lo", "hi")])
-    right = right.withColumn("slab", F.explode(F.sequence("blo_c0", "bhi_c0")))
+    right = right.withColumn("slab", F.explode(F.sequence("blo_c0", "bhi_c0"))).withColumn("strip", F.explode(F.sequence("blo_c1", "bhi_c1")))
     near = F.lit(True)
     for c in cells:  # cells one apart may hold vectors within eps; farther ones can't
         near = near & (F.col(f"alo_{c}") <= F.col(f"bhi_{c}") + 1) & (F.col(f"blo_{c}") <= F.col(f"ahi_{c}") + 1)
-    pairs = left.join(right, ["label", "dim", "slab"]).where((F.col("a") <= F.col("b")) & near).select("a", "b").distinct()
+    pairs = left.join(right, ["label", "dim", "slab", "strip"]).where((F.col("a") <= F.col("b")) & near).select("a", "b").distinct()
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("interval")).distinct()
     shipped = sequence.select("interval", "id", "copies", "dim", "u", "y", *cells).join(sides, "interval")
 
@@ -172,11 +184,13 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, threshold: float =
     counts = linked.groupBy("id").agg(F.sum("links").alias("links"))
     comp = components(spark, linked.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch)
     classes = (
-        distinct.select("label", "v", "id", "copies")
+        distinct.select("label", "v", "id", "least", "copies")
         .join(counts, "id", "left")
         .join(comp, "id", "left")
-        .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+        .select("label", "v", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
     )
+    classes = scratch.keep(classes, "named")
+    classes = classes.join(classes.groupBy("component").agg(F.min("least").alias("component_id")), "component")
     classes = classes.select(F.xxhash64("v").alias("key"), "label", "v", "n_links", "component_id")
     joined = members.join(classes, ["key", "label", "v"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~(usable(F.col("v")) & F.col("label").isNotNull() & F.exists("v", lambda x: x != 0)) | F.col("v").isNull() | F.col("label").isNull())

@@ -40,10 +40,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.kind = kind
         self.cut = _BYTE_CUT if kind == "byte" else _WORD_CUT
         self.known = _Known(self._library_ids)
+        # the library looks for added tokens before it cuts; a text that may hold one is its own from end to end
+        added = sorted({t.content for t in self.library.get_added_tokens_decoder().values()})
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
 
     def _library_ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -52,7 +54,7 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of a text; null counts as empty."""
         if not text:
             return b""
-        if _UNSAFE.search(text):
+        if _UNSAFE.search(text) or (self.added and self.added.search(text)):
             return np.array(self._library_ids(text), dtype="<u4").tobytes()
         if self.kind == "word":
             text = text.lower()
