@@ -8,6 +8,11 @@ read again as the next one's docs.  All but the last return the columns of ``doc
 3. ngram_join: of every group of similar documents the first stays.
 4. suffix_dedup: long repeated byte strings go; a document left without any text goes.
 5. packing: what is left is tokenised and packed.
+
+Defined results: rows with a null text pass all filtering stages and pack as an end id; empty texts do, too, as nothing was
+removed from them; of repeated rows the first keeps its lines, and the others go if nothing is left; rows without doc_id come last in
+reading order; texts of any length are worked on whole; an empty table gives an empty result; columns other than those of
+``documents`` are dropped.
 """
 
 from __future__ import annotations
@@ -30,8 +35,8 @@ def _columns(df: DataFrame) -> DataFrame:
 
 
 def _emptied(df: DataFrame) -> DataFrame:
-    """Without the documents whose whole text was removed."""
-    return df.where(~((F.col("n_removed") > 0) & (F.trim("text") == "")) | F.col("text").isNull())
+    """Without the documents that removal left without any word."""
+    return df.where((F.col("n_removed") == 0) | F.col("text").isNull() | F.col("text").rlike(r"\S"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
