@@ -7,28 +7,38 @@ from pyspark.sql import functions as F
 
 from .clean import fold, fold_upper
 
-#: Fixed values: (pattern, type) in order; the first two match anywhere, the others at the start.
+#: Fixed values: (pattern, type) in order; the first two match anywhere, the others are the spellings that a title starts with.
 TYPE_ANYWHERE = [(r"\bconventions?[\s\-]+collectives?\b", "CONVENTION_COLLECTIVE"), (r"\bacte[\s\-]+uniforme\b", "ACTE_UNIFORME")]
 TYPE_START = [
-    ("loi constitutionnelle", "LOI_CONSTITUTIONNELLE"),
-    ("loi", "LOI"),
-    ("d[eé]cret", "DECRET"),
-    ("arr[eê]t[eé]", "ARRETE"),
-    ("ordonnance", "ORDONNANCE"),
-    ("d[eé]cision", "DECISION"),
-    ("circulaire", "CIRCULAIRE"),
-    ("constitution", "CONSTITUTION"),
-    ("procla(?:i)?mation", "PROCLAMATION"),
-    ("discours", "DISCOURS"),
-    ("alloc(?:u|a)tion", "ALLOCUTION"),
-    ("d[eé]lib[eé]ration", "DELIBERATION"),
-    ("communiqu[eé]", "COMMUNIQUE"),
-    ("rapport", "RAPPORT"),
-    ("note", "NOTE"),
-    ("avis", "AVIS"),
+    (["loi constitutionnelle"], "LOI_CONSTITUTIONNELLE"),
+    (["loi"], "LOI"),
+    (["décret", "decret"], "DECRET"),
+    (["arrêté", "arrete", "arrété"], "ARRETE"),
+    (["ordonnance"], "ORDONNANCE"),
+    (["décision", "decision"], "DECISION"),
+    (["circulaire"], "CIRCULAIRE"),
+    (["constitution"], "CONSTITUTION"),
+    (["proclamation", "proclaimation"], "PROCLAMATION"),
+    (["discours"], "DISCOURS"),
+    (["allocution", "allocation"], "ALLOCUTION"),
+    (["délibération", "deliberation"], "DELIBERATION"),
+    (["communiqué", "communique"], "COMMUNIQUE"),
+    (["rapport"], "RAPPORT"),
+    (["note"], "NOTE"),
+    (["avis"], "AVIS"),
 ]
 #: Words looked for in a capitalised title if nothing else matched, in order.
-TYPE_WITHIN = [("D[EÉ]CRET", "DECRET"), ("ARR[EÊ]T[EÉ]", "ARRETE"), ("ORDONNANCE", "ORDONNANCE"), ("LOI", "LOI"), ("CONSTITUTION", "CONSTITUTION"), ("PROCLAI?MATION", "PROCLAMATION"), ("DISCOURS", "DISCOURS"), ("ALLOC[UA]TION", "ALLOCUTION"), ("D[EÉ]LIB[EÉ]RATION", "DELIBERATION")]
+TYPE_WITHIN = [
+    (["DECRET", "DÉCRET"], "DECRET"),
+    (["ARRETE", "ARRÊTÉ"], "ARRETE"),
+    (["ORDONNANCE"], "ORDONNANCE"),
+    (["LOI"], "LOI"),
+    (["CONSTITUTION"], "CONSTITUTION"),
+    (["PROCLAMATION", "PROCLAIMATION"], "PROCLAMATION"),
+    (["DISCOURS"], "DISCOURS"),
+    (["ALLOCUTION", "ALLOCATION"], "ALLOCUTION"),
+    (["DELIBERATION", "DÉLIBÉRATION"], "DELIBERATION"),
+]
 #: Type to code of the type dimension; all other types are TEXTE.
 TYPE_CODES = {"CONVENTION_COLLECTIVE": "CONV", "ACTE_UNIFORME": "AU", "LOI_CONSTITUTIONNELLE": "LOI", "LOI": "LOI", "DECRET": "DEC", "ARRETE": "ARR", "ORDONNANCE": "ORD", "CONSTITUTION": "CONST"}
 #: Nature to code, then title patterns to code, in order.
@@ -63,8 +73,8 @@ def act_type(title: Column) -> Column:
     """Type of an act by its title; TEXTE if nothing tells."""
     t = F.trim(title)
     rungs = [(t.rlike("(?iuU)" + p), v) for p, v in TYPE_ANYWHERE]
-    rungs += [(t.rlike(f"(?iuU)^(?:{p})\\b"), v) for p, v in TYPE_START]
-    rungs += [(F.upper(t).rlike(p), v) for p, v in TYPE_WITHIN]
+    rungs += [(t.rlike(f"(?iuU)^(?:{'|'.join(words)})\\b"), v) for words, v in TYPE_START]
+    rungs += [(F.upper(t).rlike("|".join(words)), v) for words, v in TYPE_WITHIN]
     return _ladder(rungs, F.lit("TEXTE"))
 
 
@@ -268,11 +278,16 @@ def parent_of_path(path: Column) -> Column:
     return F.when(F.size(labels) > 1, F.replace(F.regexp_replace(F.element_at(labels, -2), "^n_", ""), F.lit("_"), F.lit("-")))
 
 
-def error_class(name: Column, message: Column) -> Column:
+def error_class(name: Column, message: Column, status: Column | None = None) -> Column:
+    """Class of a failure.  An HTTP status (given, or named in the message) decides first: a refusal is definitive but for 408
+    and 429, every other status passes."""
+    named = F.regexp_extract(message, r"(?i)\b(?:HTTP|status|statut|code)\D{0,8}([1-5]\d\d)\b", 1).try_cast("int")
+    code = named if status is None else F.coalesce(status, named)
     return _ladder(
         [
+            (code.between(400, 499) & ~code.isin(408, 429), "definitive"),
+            (code.isNotNull(), "transitoire"),
             (name.isin(*TRANSIENT) | message.contains("appel Mistral en échec") | message.contains("MinIO"), "transitoire"),
-            (message.rlike(r"\b4\d\d\b") & ~message.rlike(r"\b(?:408|429)\b"), "definitive"),
             (message.contains("validation du schéma en échec") | message.contains("date de consolidation introuvable"), "information_manquante"),
         ],
         F.lit("definitive"),

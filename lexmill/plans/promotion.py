@@ -82,14 +82,12 @@ def remap(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
 def longest_prefix(df: DataFrame, label: str, names: DataFrame, name: str, ident: str) -> DataFrame:
     """The longest name that each label starts with, letters' case aside.
 
-    Names and label heads meet in an equi-join on length and prefix: a label is cut to each length that a name has (the
-    lengths are few), so nothing is compared all against all.
+    Names and label heads meet in an equi-join on the prefix: a label is cut to each length up to its own that some name has,
+    which a join with the table of lengths tells, so nothing is compared all against all and no length is left out.
     """
-    lengths = names.select(F.length(name).alias("len")).distinct()
-    lengths = [r["len"] for r in lengths.orderBy("len").limit(1000).collect() if r["len"]]
-    if not lengths:
-        return df.withColumn(ident, F.lit(None).cast(names.schema[ident].dataType))
-    cut = df.select(label).distinct().withColumn("__len", F.explode(F.array(*map(F.lit, lengths)))).where(F.length(label) >= F.col("__len"))
+    lengths = names.select(F.length(name).alias("__len")).where("__len > 0").distinct()
+    cut = df.select(label).distinct().withColumn("__len", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(label)))))
+    cut = cut.where(F.length(label) >= F.col("__len")).join(lengths, "__len", "left_semi")
     cut = cut.withColumn("__head", F.expr(f"lower(substring({label}, 1, __len))"))
     keyed = names.select(F.lower(name).alias("__head"), F.col(ident)).groupBy("__head").agg(F.min(ident).alias(ident))
     hit = cut.join(keyed, "__head").groupBy(label).agg(F.max_by(ident, "__len").alias(ident))

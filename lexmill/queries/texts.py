@@ -128,15 +128,15 @@ def link_extract(t):
     return M.links(t.pages, "page_id", "html", 'href="([^"#]+)"', "https://base.example")
 
 
-_WORDS = ["Décret", "LOI", "Arrêté", "Convention collective", "Acte uniforme portant", "Ordonnance", "Note", "Code", "Texte avec LOI", "Avis"]
-_TITLE_SQL = "(select *, case o_orderkey % 10 " + " ".join(f"when {i} then '{w}'" for i, w in enumerate(_WORDS)) + " end || ' N° ' || (o_orderkey % 997) || '-' || year(o_orderdate) || ' du ' || day(o_orderdate) || ' ' || (['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre'])[month(o_orderdate)] || ' ' || year(o_orderdate) || case when o_orderkey % 7 = 0 then ' OHADA' when o_orderkey % 7 = 1 then ' CEMAC' else '' end as title from orders)"
+_WORDS = ["Décret", "LOI", "Arrêté", "Convention collective", "Acte uniforme portant", "Ordonnance", "Note", "Code", "Texte avec LOI", "Avis", "Arrête :", "Arrété"]
+_TITLE_SQL = "(select *, case o_orderkey % 12 " + " ".join(f"when {i} then '{w}'" for i, w in enumerate(_WORDS)) + " end || ' N° ' || (o_orderkey % 997) || '-' || year(o_orderdate) || ' du ' || day(o_orderdate) || ' ' || (['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre'])[month(o_orderdate)] || ' ' || year(o_orderdate) || case when o_orderkey % 7 = 0 then ' OHADA' when o_orderkey % 7 = 1 then ' CEMAC' else '' end as title from orders)"
 
 
 def _titles(t):
     """Titles made from orders."""
     months = F.array(*map(F.lit, ["janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre", "décembre"]))
     d, k = F.col("o_orderdate"), F.col("o_orderkey")
-    word = F.element_at(F.array(*map(F.lit, _WORDS)), (k % 10 + 1).cast("int"))
+    word = F.element_at(F.array(*map(F.lit, _WORDS)), (k % 12 + 1).cast("int"))
     tail = F.when(k % 7 == 0, " OHADA").when(k % 7 == 1, " CEMAC").otherwise("")
     return t.orders.withColumn("title", F.concat(word, F.lit(" N° "), (k % 997).cast("string"), F.lit("-"), F.year(d), F.lit(" du "), F.day(d), F.lit(" "), F.element_at(months, F.month(d)), F.lit(" "), F.year(d), tail))
 
@@ -144,32 +144,33 @@ def _titles(t):
 @query(
     f"""select o_orderkey, type, case type when 'CONVENTION_COLLECTIVE' then 'CONV' when 'ACTE_UNIFORME' then 'AU' when 'LOI' then 'LOI' when 'DECRET' then 'DEC' when 'ARRETE' then 'ARR' when 'ORDONNANCE' then 'ORD' else 'TEXTE' end as code,
       deduced, scope, reference, date, number_key, keyword, act_number from (select o_orderkey,
-      case o_orderkey % 10 when 0 then 'DECRET' when 1 then 'LOI' when 2 then 'ARRETE' when 3 then 'CONVENTION_COLLECTIVE' when 4 then 'ACTE_UNIFORME' when 5 then 'ORDONNANCE' when 6 then 'NOTE' when 7 then 'TEXTE' when 8 then 'LOI' else 'AVIS' end as type,
-      case o_orderkey % 10 when 0 then 'DEC' when 1 then 'LOI' when 2 then 'ARR' when 3 then 'CONV' when 4 then 'AU' when 5 then 'ORD' when 7 then 'CODE' else 'TEXTE' end as deduced,
-      case when o_orderkey % 7 = 0 then 'ohada' when o_orderkey % 10 = 4 then 'ohada' when o_orderkey % 7 = 1 then 'communautaire' else 'national' end as scope,
-      case when o_orderkey % 10 in (0, 1, 2, 5, 8) then (o_orderkey % 997) || '-' || year(o_orderdate) end as reference,
+      case o_orderkey % 12 when 0 then 'DECRET' when 1 then 'LOI' when 2 then 'ARRETE' when 3 then 'CONVENTION_COLLECTIVE' when 4 then 'ACTE_UNIFORME' when 5 then 'ORDONNANCE' when 6 then 'NOTE' when 7 then 'TEXTE' when 8 then 'LOI' when 9 then 'AVIS' when 10 then 'TEXTE' else 'ARRETE' end as type,
+      case o_orderkey % 12 when 0 then 'DEC' when 1 then 'LOI' when 2 then 'ARR' when 3 then 'CONV' when 4 then 'AU' when 5 then 'ORD' when 7 then 'CODE' when 10 then 'ARR' else 'TEXTE' end as deduced,
+      case when o_orderkey % 7 = 0 then 'ohada' when o_orderkey % 12 = 4 then 'ohada' when o_orderkey % 7 = 1 then 'communautaire' else 'national' end as scope,
+      case when o_orderkey % 12 in (0, 1, 2, 5, 8) then (o_orderkey % 997) || '-' || year(o_orderdate) end as reference,
       o_orderdate::date as date, (o_orderkey % 997) || '-' || year(o_orderdate) as number_key,
-      case o_orderkey % 10 when 0 then 'DECRET' when 1 then 'LOI' when 2 then 'ARRETE' when 3 then 'CONVENTION' when 5 then 'ORDONNANCE' when 9 then 'AVIS' end as keyword,
+      case o_orderkey % 12 when 0 then 'DECRET' when 1 then 'LOI' when 2 then 'ARRETE' when 3 then 'CONVENTION' when 5 then 'ORDONNANCE' when 9 then 'AVIS' when 10 then 'ARRETE' when 11 then 'ARRETE' end as keyword,
       (o_orderkey % 997) || '-' || year(o_orderdate) as act_number from orders)"""
 )
 def title_ladder(t):
     """What a title tells."""
-    title = F.col("title")
-    kind = C.act_type(title)
-    return _titles(t).select(
-        "o_orderkey", kind.alias("type"), C.type_code(kind).alias("code"), C.deduced_code(F.lit(None).cast("string"), title).alias("deduced"), C.legal_scope(title, F.lit(None).cast("string")).alias("scope"),
+    title, kind = F.col("title"), F.col("type")  # the ladder of types runs once, as a column
+    return _titles(t).select("o_orderkey", "title", C.act_type(title).alias("type")).select(
+        "o_orderkey", "type", C.type_code(kind).alias("code"), C.deduced_code(F.lit(None).cast("string"), title).alias("deduced"), C.legal_scope(title, F.lit(None).cast("string")).alias("scope"),
         C.reference(title).alias("reference"), C.french_date(title).alias("date"), C.act_number_key(title).alias("number_key"), C.act_keyword(title).alias("keyword"), C.normal_number(C.act_number(title)).alias("act_number"),
     )
 
 
 @query(
-    f"""with d as (select case o_orderkey % 10 when 0 then 'DEC' when 1 then 'LOI' when 2 then 'ARR' when 3 then 'CONV' when 4 then 'AU' when 5 then 'ORD' when 7 then 'CODE' else 'TEXTE' end as code, o_orderkey from orders where o_orderstatus = 'O')
+    f"""with d as (select case o_orderkey % 12 when 0 then 'DEC' when 1 then 'LOI' when 2 then 'ARR' when 3 then 'CONV' when 4 then 'AU' when 5 then 'ORD' when 7 then 'CODE' when 10 then 'ARR' else 'TEXTE' end as code, o_orderkey from orders where o_orderstatus = 'O')
     select code, count(*) as n, list_sort(list(o_orderkey))[:2] as first_ids from d group by code"""
 )
 def type_backfill(t):
     """Untyped documents by deduced code."""
     rows = _titles(t).where("o_orderstatus = 'O'").withColumn("code", C.deduced_code(F.lit(None).cast("string"), F.col("title")))
-    return rows.groupBy("code").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list("o_orderkey")), 1, 2).alias("first_ids"))
+    place = F.row_number().over(Window.partitionBy("code").orderBy("o_orderkey"))  # only the two least of each code leave a task
+    least = rows.select("code", "o_orderkey").withColumn("k", place).where("k <= 2").groupBy("code").agg(F.array_sort(F.collect_list("o_orderkey")).alias("first_ids"))
+    return rows.groupBy("code").agg(F.count("*").alias("n")).join(least, "code").select("code", "n", "first_ids")
 
 
 @query(
@@ -429,12 +430,13 @@ def next_run(t):
     return t.events.select("event_id", C.next_run(F.col("ts"), 2).alias("next_run"))
 
 
-@query("select event_id, case event_id % 5 when 0 then 'transitoire' when 1 then 'transitoire' when 2 then 'information_manquante' when 3 then 'definitive' else 'definitive' end as error_class from events")
+@query("select event_id, case event_id % 9 when 0 then 'transitoire' when 1 then 'transitoire' when 2 then 'information_manquante' when 3 then 'definitive' when 5 then 'transitoire' when 6 then 'transitoire' when 7 then 'transitoire' else 'definitive' end as error_class from events")
 def error_classes(t):
     """Failure classes."""
-    k = F.col("event_id") % 5
+    k = F.col("event_id") % 9
     name = F.when(k == 0, "ReadTimeout").otherwise("ValueError")
-    message = F.when(k == 1, "échec de stockage MinIO").when(k == 2, "validation du schéma en échec").when(k == 3, "HTTP 404").otherwise("autre")
+    message = F.when(k == 1, "échec de stockage MinIO").when(k == 2, "validation du schéma en échec").when(k == 3, "HTTP 404")
+    message = message.when(k == 5, "HTTP 408").when(k == 6, "HTTP 429 : quota").when(k == 7, "HTTP 503").when(k == 8, "HTTP 422").otherwise("autre")
     return t.events.select("event_id", C.error_class(name, message).alias("error_class"))
 
 

@@ -116,7 +116,7 @@ def test_grids(spark):
     assert df.select(grids.is_subscription_grid(F.col("h"), F.col("r"))).first()[0]
 
 
-@pytest.mark.parametrize("name,message,want", [("ReadTimeout", "", "transitoire"), ("ValueError", "HTTP 404", "definitive"), ("ValueError", "HTTP 429", "definitive"), ("X", "date de consolidation introuvable", "information_manquante")])
+@pytest.mark.parametrize("name,message,want", [("ReadTimeout", "", "transitoire"), ("ValueError", "HTTP 404", "definitive"), ("ValueError", "HTTP 422", "definitive"), ("ValueError", "HTTP 429", "transitoire"), ("ValueError", "HTTP 408", "transitoire"), ("HTTPStatusError", "HTTP 503", "transitoire"), ("X", "page 404", "definitive"), ("X", "date de consolidation introuvable", "information_manquante")])
 def test_error_classes(spark, name, message, want):
     assert spark.range(1).select(C.error_class(F.lit(name), F.lit(message))).first()[0] == want
 
