@@ -440,7 +440,15 @@ def error_classes(t):
     return t.events.select("event_id", C.error_class(name, message).alias("error_class"))
 
 
-@query()
+@query(
+    f"""with o as (select o_custkey, o_orderkey, title, o_orderkey % 12 as k, o_orderkey % 12 in (0, 1, 2, 5, 6, 9, 10) as opens from {_TITLE_SQL}),
+    g as (select *, sum(opens::int) over (partition by o_custkey order by o_orderkey rows unbounded preceding) as act, count(*) filter (opens) over (partition by o_custkey) as n from o),
+    a as (select o_custkey, act - 1 as act_no, max(title) filter (opens) as title, max(k) filter (opens) as k, max(o_orderkey) filter (opens) as o,
+      length('Vu la charte ;|Article 1 : texte.') + coalesce(sum(length(title) + length('||# |Vu la charte ;|Article 1 : texte.')) filter (not opens), 0) + max((act < n)::int) as n_chars from g where act > 0 group by o_custkey, act),
+    r as (select a.o_custkey, act_no::int as act_no, title, n_chars::int as n_chars, case k when 0 then 'DECRET' when 1 then 'LOI' when 2 then 'ARRETE' when 5 then 'ORDONNANCE' when 6 then 'NOTE' when 9 then 'AVIS' else 'TEXTE' end as type,
+      (o % 997) || '-' || year(o_orderdate) as number from a join orders on o_orderkey = o)
+    select o_custkey, act_no, title, type, n_chars from r qualify row_number() over (partition by o_custkey, type, number order by n_chars desc, act_no) = 1"""
+)
 def split_acts(t):
     """acts of gazettes made of a customer's titles and texts."""
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "title"))), lambda x: F.concat(F.lit("# "), x["title"], F.lit("\nVu la charte ;\nArticle 1 : texte."))), "\n\n")

@@ -63,12 +63,32 @@ def test_math_escapes():
     assert latex.clean(latex.clean("5$^{\\circ}$ et 10 $\\%$")[0])[0] == latex.clean("5$^{\\circ}$ et 10 $\\%$")[0]
 
 
-def test_splitting_acts():
+def test_math_escapes_more():
+    """Endings, numbers and signs of our own sentences; formulas and money stay."""
+    plain = {
+        "au  $2^{e}$  rang": "au 2e rang",
+        "la  $3^{\\mathrm{e}}$  file": "la 3e file",
+        "les  $\\mathbf{n}^{\\text{os}}$  4 et 5": "les nos 4 et 5",
+        "tour 2  $^{e}$  étage": "tour 2e étage",
+        "soit  $12\\%$  net": "soit 12% net",
+        "$Leu_{R}$  toit": "Leur toit",
+        "un  $\\pmb{\\mathrm{n}}^{\\circ}$  7": "un n° 7",
+    }
+    for text, want in plain.items():
+        assert latex.clean(text)[0] == want
+        assert latex.clean(want)[0] == want
+    for text in ["5 $ puis 6 $", "un $a$ b", "le  $y^{n}$  croît", "la  $w_{i}$  baisse", "soit  $\\sqrt{2}$", "prix $4\n5$ ici", "un  $\\text{a^{b}}$  x", "un  $\\mathbf{n$  x"]:
+        assert latex.clean(text)[0] == text
+
+
+def test_splitting_acts(spark):
     text = "\n".join([
         "Décret n° 1-2020 du 3 mai 2020 (page 4)", "Loi n° 2-2020 du 4 mai 2020 portant", "création des lacs", "Vu la charte et la", "Loi n° 9 du 6 juin 1990 ;", "Article 1 : x.", "",
         "le présent arrêté sera publié.", "arrêté sera suspendu sans suite", "", "Arrêté n° 3 du 5 mai 2020", "LE MINISTRE,", "Article 1 : y.",
     ])
-    assert [(t, c.split("\n")[0]) for _, t, c in acts.split_text(text)] == [("Loi n° 2-2020 du 4 mai 2020 portant création des lacs", "Vu la charte et la"), ("Arrêté n° 3 du 5 mai 2020", "LE MINISTRE,")]
+    rows = acts.split_acts(spark.createDataFrame([(1, text), (2, ""), (3, None)], "d int, text string"), "d", "text").orderBy("d", "act_no").collect()
+    assert [(r["d"], r["act_no"]) for r in rows] == [(1, 0), (1, 1)]
+    assert [(r["title"], r["content"].split("\n")[0]) for r in rows] == [("Loi n° 2-2020 du 4 mai 2020 portant création des lacs", "Vu la charte et la"), ("Arrêté n° 3 du 5 mai 2020", "LE MINISTRE,")]
 
 
 def test_act_copies(spark):
