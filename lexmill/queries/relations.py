@@ -168,7 +168,7 @@ def act_hierarchy(t):
     rows = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", line.alias("x")))).alias("l"))
     text = F.concat(F.lit("[[DOC_PAGE:1]]\nVu la charte ;\nTITRE I : DES PARTS\n"), F.array_join(F.transform("l", lambda x: x["x"]), "\n"), F.lit("\nFait à Lacville, le 3 mai 2020\nJean Pêcheur"))
     docs = rows.select("l_orderkey", F.when(F.col("l_orderkey") % 10 == 0, "Un texte sans articles.").otherwise(text).alias("text"))
-    return H.full_text_leaf(docs, H.parse_acts(docs, "l_orderkey", "text"), "l_orderkey", "text")
+    return H.parse_acts(docs, "l_orderkey", "text", whole=True)
 
 
 # I: grids ---------------------------------------------------------------------------------------------------------------
