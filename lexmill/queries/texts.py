@@ -289,7 +289,7 @@ def toc_cut(t):
 
 
 @query(
-    f"""with x as (select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) as start_line, o_orderkey % 10 as k, o_orderkey, title from {_TITLE_SQL})
+    f"""with x as (select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) as start_line, o_orderkey % 12 as k, o_orderkey, title from {_TITLE_SQL})
     select o_custkey, start_line, case k when 0 then 'DEC' when 1 then 'LOI' when 2 then 'ARR' when 5 then 'ORD' when 7 then 'CODE' else 'TEXTE' end as type_code from x where k in (0, 1, 2, 5, 7, 9)"""
 )
 def boundaries(t):
