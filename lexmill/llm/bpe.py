@@ -6,7 +6,14 @@ token and its right neighbour with the merge table, contracts the leftmost pair
 and repeats until no piece holds a mergeable pair.  Decoding joins ids with the vocabulary and puts their
 bytes together by an ordered aggregation.  Results are remembered by piece, within a bound.
 
-Defined results: a null text is an empty text; no ids, and the digests of nothing.
+Very long pieces are cut first where no token of the vocabulary that occurs in them reaches across: no merge can ever join
+the two sides there.  Parts that stay long (runs of a letter, repeated passages) go through a recursion that contracts all
+pairs of the least rank in one step, leftmost first, up to the first whose token could merge with a neighbour at a lower
+rank; its steps go with the ranks that occur, not with the bytes.
+
+Defined results: a null text is an empty text; no ids, and the digests of nothing; repeated rows and repeated or null doc_ids give a
+row each; ties of rank go to the leftmost pair; columns other than doc_id and text are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -14,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +33,10 @@ MAX_WORDS = 1_500_000
 QUERY_WORDS = 40_000
 #: Texts whose new pieces are gathered for one round of queries.
 ROWS = 4000
-#: Pieces beyond so many bytes go to a query of their own kind, so that one long piece doesn't hold up the others.
+#: Pieces beyond so many bytes are long: they are cut, and not remembered.
 LONG_BYTES = 64
+#: Bytes of long parts given to one recursive query.
+QUERY_BYTES = 1 << 20
 
 class RankFile:
     """Merge and vocabulary tables of a rank file (base64 token, rank) inside DuckDB."""
@@ -44,8 +54,10 @@ class RankFile:
                     left.append(a)
                     right.append(b)
                     rank.append(r)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         merges = pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "rank": pa.array(rank, pa.int32())})
+        self.tokens = [t for t in ranks if len(t) > 1]
+        self.spans = None
         vocab = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())})
         self.db.register("m", merges)
         self.db.register("v", vocab)
@@ -55,14 +67,46 @@ class RankFile:
         self.db.unregister("v")
         self.byte_id = [ranks[bytes([b])] for b in range(256)]
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
+    def cut(self, word: bytes) -> list[bytes]:
+        """Parts of a long piece between which no token reaches across."""
+        import ahocorasick
+
+        if self.spans is None:
+            self.spans = ahocorasick.Automaton()
+            for t in self.tokens:
+                self.spans.add_word(t.decode("latin-1"), len(t))
+            self.spans.make_automaton()
+        across = np.zeros(len(word) + 1, np.int32)
+        found = np.array([(end - n + 2, end + 1) for end, n in self.spans.iter(word.decode("latin-1"))], np.int64).reshape(-1, 2)
+        np.add.at(across, found[:, 0], 1)
+        np.add.at(across, found[:, 1], -1)
+        edges = [0, *(np.flatnonzero(np.cumsum(across)[1 : len(word)] == 0) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+
+    def encode_long(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of long pieces, by their parts."""
+        parts = [self.cut(w) for w in words]
+        ids: dict[bytes, list[int]] = {}
+        distinct = sorted({p for x in parts for p in x}, key=len)
+        short = [p for p in distinct if len(p) <= LONG_BYTES]
+        for i in range(0, len(short), QUERY_WORDS):
+            ids |= zip(short[i : i + QUERY_WORDS], self.encode(short[i : i + QUERY_WORDS]), strict=True)
+        group: list[bytes] = []
+        for p in [*distinct[len(short) :], b""]:
+            if group and (not p or sum(map(len, group)) + len(p) > QUERY_BYTES):
+                ids |= zip(group, self.encode(group, _RECURSIVE_LONG), strict=True)
+                group = []
+            group.append(p)
+        return [[t for p in x for t in ids[p]] for x in parts]
+
+    def encode(self, words: list[bytes], query: str | None = None) -> list[list[int]]:
         """Ids of each piece."""
         w = [i for i, x in enumerate(words) for _ in x]
         pos = [k for x in words for k in range(len(x))]
         tok = [self.byte_id[b] for x in words for b in x]
         start = pa.table({"w": pa.array(w, pa.int32()), "pos": pa.array(pos, pa.int32()), "tok": pa.array(tok, pa.int32())})
         self.db.register("start", start)
-        rows = self.db.sql(_RECURSIVE).to_arrow_table()
+        rows = self.db.sql(query or _RECURSIVE).to_arrow_table()
         self.db.unregister("start")
         out: list[list[int]] = [[] for _ in words]
         for i, ids in zip(rows.column("w").to_pylist(), rows.column("ids").to_pylist(), strict=True):
@@ -105,6 +149,46 @@ with recursive step(w, toks, live) as (
 select w, toks as ids from step where not live
 """
 
+#: The same for long pieces: of the pairs of least rank, every one that doesn't overlap the chosen one before it, up to the first
+#: after which a pair of a lower rank would be next.
+_RECURSIVE_LONG = """
+with recursive step(w, toks, live) as (
+    select w, list(tok order by pos), true from start group by w
+    union all
+    select s.w, coalesce(made.toks, s.toks), made.toks is not null
+    from (select * from step where live) s
+    left join (
+        with pair as (
+            select x.*, m.rank, min(m.rank) over (partition by x.w) as least
+            from (
+                select w, unnest(range(1, len(toks))) as p, unnest(toks[:-2]) as l, unnest(toks[2:]) as r,
+                    unnest(list_concat([-1], toks[:-3])) as before, unnest(list_concat(toks[3:], [-1])) as after
+                from step where live
+            ) x
+            join merges m on m.l = x.l and m.r = x.r
+        ), in_line as (
+            select *, row_number() over (partition by w order by p) as k from pair where rank = least
+        ), apart as (
+            select *, lag(p) over (partition by w order by p) as last from (select *, row_number() over (partition by w, p - k order by p) as turn from in_line) where turn % 2 = 1
+        ), chosen as (
+            select w, p, rank from (
+                select o.w, o.p, o.rank, min(case when a.rank is not null or z.rank is not null then o.p end) over (partition by o.w) as stop
+                from apart o
+                left join merges a on a.l = case when o.last = o.p - 2 then o.rank else o.before end and a.r = o.rank and a.rank < o.rank
+                left join merges z on z.l = o.rank and z.r = o.after and z.rank < o.rank
+            ) where stop is null or p <= stop
+        )
+        select t.w, list(coalesce(here.rank, t.tok) order by t.p) as toks
+        from (select w, unnest(range(1, len(toks) + 1)) as p, unnest(toks) as tok from step where live) t
+        left join chosen here on here.w = t.w and here.p = t.p
+        left join chosen gone on gone.w = t.w and gone.p = t.p - 1
+        where gone.p is null
+        group by t.w having count(here.p) > 0
+    ) made on made.w = s.w
+)
+select w, toks as ids from step where not live
+"""
+
 _FILES: dict[str, RankFile] = {}
 _KNOWN: dict[str, Known] = {}
 
@@ -126,25 +210,26 @@ def _cutter(pattern: str):
 
 
 class Known:
-    """Pieces a worker has met: ids as text, and decoded bytes only where they aren't the piece's own."""
+    """Pieces a worker has met: ids as text.  Their ids have been decoded to the piece's own bytes."""
 
     def __init__(self):
         self.ids: dict[str, str] = {}
-        self.odd: dict[str, bytes] = {}
 
     def learn(self, file: RankFile, words: set[str]) -> dict[str, str]:
         """Encode and decode new pieces; returns those that the bound leaves out, for the texts at hand."""
         todo = sorted(words, key=len)
         cut = next((i for i, w in enumerate(todo) if len(w) > LONG_BYTES), len(todo))
-        groups = [todo[i : min(i + QUERY_WORDS, cut)] for i in range(0, cut, QUERY_WORDS)] + [[w] for w in todo[cut:]]
+        groups = [todo[i : min(i + QUERY_WORDS, cut)] for i in range(0, cut, QUERY_WORDS)] + ([todo[cut:]] if todo[cut:] else [])
         over: dict[str, str] = {}
         for group in groups:
             raw = [w.encode() for w in group]
-            ids = file.encode(raw)
+            long = len(group[-1]) > LONG_BYTES
+            ids = file.encode_long(raw) if long else file.encode(raw)
             for w, r, x, back in zip(group, raw, ids, file.decode(ids), strict=True):
-                (self.ids if len(self.ids) < MAX_WORDS else over)[w] = ",".join(map(str, x))
+                kept = not long and len(self.ids) < MAX_WORDS
+                (self.ids if kept else over)[w] = ",".join(map(str, x))
                 if back != r:
-                    self.odd[w] = back
+                    raise ValueError(f"ids of a piece of {len(r)} bytes don't decode to it")
         return over
 
 
@@ -171,7 +256,7 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, with_output:
                         ids = ",".join(map(known.ids.__getitem__, words))
                     except KeyError:
                         ids = ",".join([known.ids.get(w) or over[w] for w in words])
-                    raw = b"".join([known.odd.get(w) or w.encode() for w in words]) if known.odd else "".join(words).encode()
+                    raw = "".join(words).encode()  # every piece has been decoded to itself
                     ns.append(ids.count(",") + 1 if ids else 0)
                     shas.append(hashlib.sha256(ids.encode()).hexdigest())
                     raws.append(hashlib.sha256(raw).hexdigest())

@@ -157,3 +157,28 @@ def test_sweep_prefers_the_longest_that_fits():
     matches, waiting, gaps = sweep([(5, 0, 1), (7, 0, 2), (9, 0, 1)], [(7, 0, 1), (8, 1, 1)])
     assert [(m[0], m[3]) for m in matches] == [(7, 7), (7, 8)]
     assert sorted(waiting) == [(5, 0, 1), (9, 0, 1)] and gaps == [(1, 1, 1)]
+
+
+def test_long_pieces_equal_tiktoken(spark):
+    import random
+
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(5)
+    some = sorted(t for t in ranks if 2 <= len(t) <= 6 and t.isalpha())[::7]
+    texts = ["".join(rng.choice("abcdefghij") for _ in range(3000)), "ab" * 2000, "é" * 900, "-" * 700 + "=" * 301, "a" * 60_000]
+    for _ in range(30):
+        few = rng.sample(some, rng.choice([2, 3, 8, 40]))
+        texts.append(b"".join(rng.choice(few) for _ in range(150)).decode("latin-1"))
+    rows = [*enumerate(texts), (0, texts[0]), (None, "word"), (None, None)]
+    got = bpe_round_trip(spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, n_tokens int"), path, P.PATTERN, with_output=True).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r["doc_id"] is not None:
+            assert r["ids"] == enc.encode_ordinary(texts[r["doc_id"]])
+            assert bytes(r["decoded"]) == texts[r["doc_id"]].encode()
+    assert bpe_round_trip(table(spark, []), path, P.PATTERN).collect() == []
