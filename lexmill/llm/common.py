@@ -2,7 +2,8 @@
 
 Everything an operator keeps between its stages is written as Parquet below the folder that
 ``spark.checkpoint.dir`` names, which driver and executors share, so a lost executor costs a re-read
-and never a lost block.  Only where that setting is absent (tests, notebooks) a folder of our own is used.
+and never a lost block.  Where that setting is absent, a local session (tests, notebooks) uses a folder of its own, and a
+cluster a folder in its warehouse.  Results are lazy and read those tables, so they stay; the folder is the cluster's to empty.
 """
 
 from __future__ import annotations
@@ -21,7 +22,11 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return _OWN.setdefault("dir", tempfile.mkdtemp(prefix="lexmill-"))
+    if not spark.sparkContext.master.startswith("local"):  # a cluster: its warehouse is shared, a temporary folder isn't
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if "dir" not in _OWN:
+        _OWN["dir"] = tempfile.mkdtemp(prefix="lexmill-")
+    return _OWN["dir"]
 
 
 class Scratch:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, shuffle_partitions
-from .shingles import buffers, mix
+from .shingles import buffers, chunks, mix
 
 _U = np.uint64
 GRAM = 24
@@ -40,6 +40,10 @@ GRAM = 24
 PARTS = 4
 #: Most bytes of flanks that one index holds.
 INDEX_BYTES = 3 << 20
+#: Bytes of texts whose anchors a task holds at a time.
+TEXT_BYTES = 4 << 20
+#: Texts whose flanks a task holds at a time.
+FLANK_ROWS = 500
 #: Windows scanned at once in very long texts.
 SEGMENT = 1 << 22
 #: Low bits of a sort key that hold the place (texts below 2 GB).
@@ -255,18 +259,19 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = 400, gram
     def anchor_rows(batches):
         for batch in batches:
             data, offsets = buffers(batch.column(1))
-            outs, owners = [], []
-            for i in np.flatnonzero(np.diff(offsets) >= length):
-                got = scan(data[offsets[i] : offsets[i + 1]], length, gram)
-                outs.append(got)
-                owners.append(np.full(len(got[0]), i))
-            if not outs:
-                continue
-            at, h, left, right, ctx, *shared = (np.concatenate(x) for x in zip(*outs, strict=True))
-            rows = batch.column(0).take(pa.array(np.concatenate(owners)))
-            cols = [pa.array(h.view(np.int64)), rows, pa.array(at, pa.int64()), pa.array(left, pa.int32()), pa.array(right, pa.int32()), pa.array(ctx.view(np.int64))]
-            cols += [pa.array(x.view(np.int64), mask=(left < a) | (right < w - b)) for x, (a, b) in zip(shared, parts(w), strict=True)]
-            yield pa.RecordBatch.from_arrays(cols, ["h", "row", "pos", "l", "r", "ctx", *keys])
+            for first, last in chunks(offsets, TEXT_BYTES):
+                outs, owners = [], []
+                for i in first + np.flatnonzero(np.diff(offsets[first : last + 1]) >= length):
+                    got = scan(data[offsets[i] : offsets[i + 1]], length, gram)
+                    outs.append(got)
+                    owners.append(np.full(len(got[0]), i))
+                if not outs:
+                    continue
+                at, h, left, right, ctx, *shared = (np.concatenate(x) for x in zip(*outs, strict=True))
+                rows = batch.column(0).take(pa.array(np.concatenate(owners)))
+                cols = [pa.array(h.view(np.int64)), rows, pa.array(at, pa.int64()), pa.array(left, pa.int32()), pa.array(right, pa.int32()), pa.array(ctx.view(np.int64))]
+                cols += [pa.array(x.view(np.int64), mask=(left < a) | (right < w - b)) for x, (a, b) in zip(shared, parts(w), strict=True)]
+                yield pa.RecordBatch.from_arrays(cols, ["h", "row", "pos", "l", "r", "ctx", *keys])
 
     keys = [f"p{k}" for k in range(PARTS)]
     seen = scratch.keep(docs.mapInArrow(anchor_rows, "h long, row long, pos long, l int, r int, ctx long, " + ", ".join(f"{k} long" for k in keys)), "anchors")
@@ -289,7 +294,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = 400, gram
 
     def flanks(batches):
         names = ["g", "a", "b", "row", "pos", "need", "lf", "rf"]
-        for batch in batches:
+        for batch in (whole.slice(i, FLANK_ROWS) for whole in batches for i in range(0, whole.num_rows, FLANK_ROWS)):
             data, offsets = buffers(batch.column(1))
             out: list[list] = [[] for _ in names]
             for i, (row, of) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
