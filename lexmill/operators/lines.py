@@ -166,11 +166,16 @@ def boundaries(docs: DataFrame, key: str, text: str, longest: int = 400) -> Data
 
 
 def slices(lines: DataFrame, marks: DataFrame, key: str, at: str = "start_line") -> DataFrame:
-    """Half-open segments from each mark to the next; lines before the first are dropped.  Needs line numbers from 1."""
-    w = Window.partitionBy(key).orderBy(at)
-    spans = marks.withColumns({"segment": F.row_number().over(w), "__next": F.lead(at).over(w)})
-    inside = lines.join(spans, key).where((F.col("line_no") >= F.col(at)) & (F.col("__next").isNull() | (F.col("line_no") < F.col("__next"))))
-    rows = inside.groupBy(key, "segment").agg(F.min(at).alias("line_start"), F.max("line_no").alias("line_end"), F.count("*").alias("line_count"), F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l"))
+    """Half-open segments from each mark to the next; lines before the first are dropped.  Needs line numbers from 1.
+
+    Marks stand among the lines, and a line belongs to the last mark up to it: one window, no join.
+    """
+    numbered = marks.select(key, F.col(at).cast("long").alias("line_no"), F.lit(None).cast("string").alias("line"), F.row_number().over(Window.partitionBy(key).orderBy(at)).alias("__mark"))
+    both = lines.select(key, F.col("line_no").cast("long").alias("line_no"), "line", F.lit(None).cast("int").alias("__mark")).unionByName(numbered)
+    running = Window.partitionBy(key).orderBy("line_no", F.col("__mark").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    last = lambda c: F.last(F.when(F.col("__mark").isNotNull(), F.col(c)), ignorenulls=True).over(running)
+    inside = both.withColumns({"segment": last("__mark"), "__at": last("line_no")}).where("__mark is null and segment is not null")
+    rows = inside.groupBy(key, "segment").agg(F.min("__at").alias("line_start"), F.max("line_no").alias("line_end"), F.count("*").alias("line_count"), F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l"))
     return rows.select(key, "segment", "line_start", "line_end", "line_count", strip_space(F.array_join(F.transform("l", lambda x: x["line"]), "\n")).alias("content"))
 
 
