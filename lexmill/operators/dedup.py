@@ -43,7 +43,7 @@ def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def cluster_pairs(members: DataFrame, ident: str, *keys: str) -> DataFrame:
-    """Pairs (a before b) inside a cluster: clusters share an administrative identity, so they are small."""
+    """Pairs (a before b) inside a cluster.  Give it the distinct contents of a cluster: copies need no pairs."""
     a = members.select(*keys, F.struct(*members.columns).alias("a"))
     b = members.select(*keys, F.struct(*members.columns).alias("b"))
     return a.join(b, list(keys)).where(F.col(f"a.{ident}") < F.col(f"b.{ident}"))
@@ -54,8 +54,10 @@ def assess(members: DataFrame, ident: str, keys: list[str]) -> DataFrame:
 
     members: ident, keys, content_hash, numbers, n_articles, sample, journal_id, role, status, flags_blocking, created_at.
     """
-    sample = F.substring("sample", 1, SAMPLE)
-    pairs = cluster_pairs(members.withColumn("sample", sample), ident, *keys)
+    # equal contents are one member here: a pair of copies can't be the least alike, unless they are all there is
+    distinct = members.withColumn("sample", F.substring("sample", 1, SAMPLE)).groupBy(*keys, "numbers", "sample").agg(F.min(ident).alias(ident), F.count("*").alias("copies"))
+    copied = distinct.where("copies > 1").select(*keys, F.struct(*distinct.columns).alias("a"), F.struct(*distinct.columns).alias("b"))
+    pairs = cluster_pairs(distinct, ident, *keys).unionByName(copied)
     pairs = pairs.groupBy(*keys).agg(F.min(jaccard(F.col("a.numbers"), F.col("b.numbers"))).alias("min_jaccard"), F.min(text_similarity("a.sample", "b.sample")).alias("min_similarity"))
     rank = F.lit(-1)
     for status, r in RANKS.items():

@@ -161,7 +161,16 @@ def interval_overlap(t):
     return H.overlaps(v, "o_custkey", "a", "b").select("o_custkey", "o_orderkey")
 
 
-@query()
+@query(
+    """with l as (select l_orderkey, l_linenumber, 'La part ' || l_partkey || ' est livrée.' || chr(10) || 'Elle compte.' as content, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey::varchar) as n, count(*) over (partition by l_orderkey) as many from lineitem),
+    o as (select distinct l_orderkey, many from l), n as (
+      select l_orderkey, 0 as node_id, null::int as parent_id, 0 as depth, 'ARTICLE' as type, 'Unique' as number, '' as title, 'Un texte sans articles.' as content, null::int as page from o where l_orderkey % 10 = 0
+      union all select l_orderkey, 0, null, 0, 'PREAMBULE', '', '', 'Vu la charte ;', 1 from o where l_orderkey % 10 > 0
+      union all select l_orderkey, 1, null, 0, 'TITRE', 'I', 'DES PARTS', '', 1 from o where l_orderkey % 10 > 0
+      union all select l_orderkey, n + 1, 1, 1, 'ARTICLE', l_linenumber::varchar, '', content, 1 from l where l_orderkey % 10 > 0
+      union all select l_orderkey, many + 2, null, 0, 'SIGNATURE', '', '', 'Fait à Lacville, le 3 mai 2020' || chr(10) || 'Jean Pêcheur', 1 from o where l_orderkey % 10 > 0)
+    select l_orderkey, node_id::int as node_id, parent_id, depth, type, number, title, content, page, null::int as page_end from n"""
+)
 def act_hierarchy(t):
     """Nodes of acts made of orders and their lines, with the whole text where there is no structure."""
     line = F.concat(F.lit("Article "), F.col("l_linenumber"), F.lit(" : La part "), F.col("l_partkey"), F.lit(" est livrée.\nElle compte."))
@@ -248,7 +257,9 @@ def table_linearise(t):
     return rows.select(F.col("n_regionkey").alias("r_regionkey"), G.linear(F.lit("Liste"), F.array(F.lit("clé"), F.lit("nom")), cells).alias("text"))
 
 
-@query()
+@query(
+    """select n_regionkey, 3 as n_headers, count(*)::int as n_rows, '' as codes, 'Voici :' || chr(10) || 'clé | nom | x' || chr(10) || string_agg(n_nationkey || ' | ' || n_name || ' | ', chr(10) order by n_nationkey) || chr(10) || 'fin' as text, false as subscription from nation group by 1"""
+)
 def parse_tables(t):
     """HTML tables to grids, checked, and put into their texts as lines."""
     row = F.concat(F.lit("<tr><td>"), "n_nationkey", F.lit("</td><td colspan='2'>"), "n_name", F.lit("</td></tr>"))
@@ -516,7 +527,7 @@ def timelines(t):
     return X.timelines(rows.where("o_orderkey % 2 = 0"), rows.where("o_orderkey % 2 = 1"), "o_custkey", "valid_from", "o_orderkey").select("o_custkey", "o_orderkey", "valid_from", "valid_to")
 
 
-@query()
+@query("select p_partkey, 1 as n_changes, '<>' || substr(p_name, 4) as text from part")
 def word_changes(t):
     """Where two readings differ, and official replacements applied."""
     c = F.col("p_name")

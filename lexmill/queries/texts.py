@@ -455,7 +455,7 @@ def split_acts(t):
     return acts_op.split_acts(_titles(t).groupBy("o_custkey").agg(body.alias("text")), "o_custkey", "text").select("o_custkey", "act_no", "title", "type", F.length("content").alias("n_chars"))
 
 
-@query()
+@query("select l_orderkey, l_linenumber, 'Loi N° ' || l_linenumber || ' du 1er mai, soit $x+y$ et ' || l_quantity || ' %' as text, 1 as n_refused from lineitem")
 def unescape_math(t):
     """Math escapes that are plain text."""
     from ..functions.latex import unescape
