@@ -214,8 +214,7 @@ class ShingleJoin:
             return pa.table([pa.array(np.repeat(named, size)[rows]), pa.array(sig[rows]), pa.array(np.repeat(times, size)[rows])], names=["lh", "sig", "mult"])
 
         posted = self.docs.mapInArrow(post, "block long, blob binary")
-        found = self.scratch.keep(posted.groupBy("block").applyInArrow(gather, "lh long, sig long, mult long"), "lists")
-        return found
+        return posted.groupBy("block").applyInArrow(gather, "lh long, sig long, mult long")
 
     def enough(self, flat: DataFrame, sets: DataFrame) -> DataFrame:
         """Members (with ``n`` and ``ord`` of the sets) whose sets share enough posted shingles, in lists that still join two, with their leaders.
@@ -333,7 +332,7 @@ class ShingleJoin:
         pairs = pairs.select("a", "b", least.cast("double").alias("least"))
         if rough:
             pairs = pairs.join(side("b", "bins"), "b").join(side("a", "bins"), "a").select(*names)
-            pairs = self.scratch.keep(pairs.mapInArrow(bound, "a long, b long, least double"), f"{tag}-bound")
+            pairs = pairs.mapInArrow(bound, "a long, b long, least double")
         joined = pairs.join(side("b", "tokens"), "b").join(side("a", "tokens"), "a").select(*names)
         return self.scratch.keep(joined.mapInArrow(work, "a long, b long, na int, nb int, common long"), tag)
 
