@@ -309,6 +309,11 @@ def is_unreadable(content: Column) -> Column:
     return (F.length(content) == 0) | (F.locate("%PDF-", F.substring(content.cast("string"), 1, 1024)) == 0)
 
 
+def reception(content: Column, most: int) -> Column:
+    """What becomes of an upload: empty, too_large (in bytes), no_header (see ``is_unreadable``) or accepted."""
+    return _ladder([(F.length(content) == 0, "empty"), (F.length(content) > most, "too_large"), (is_unreadable(content), "no_header")], F.lit("accepted"))
+
+
 #: Keywords of source series by leading path, in order.
 SOURCES = [
     ("sgg/JO", "sgg-jo", "journal_officiel"),

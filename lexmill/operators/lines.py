@@ -234,3 +234,28 @@ def layout_markdown(pages: DataFrame, key: str, prefix: str = "DOC") -> DataFram
     per_page = layout_lines(pages, key).groupBy(key, "page").agg(F.array_sort(F.collect_list(F.struct("block_no", "text"))).alias("b"))
     per_page = per_page.select(key, "page", F.array_join(F.transform("b", lambda x: x["text"]), "\n").alias("content"))
     return render_pages(per_page, key, prefix)
+
+
+def split_by_header(lines: DataFrame, key: str, header: str) -> DataFrame:
+    """Articles of a text cut at lines that match a header (its first group is the number): key, number, content.
+
+    A number that comes again gets ``_dup``, ``_dup2``, and so on; lines before the first header are dropped.
+    """
+    number = F.regexp_extract("line", header, 1)
+    running = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = lines.withColumn("__h", F.col("line").rlike(header)).withColumn("__n", F.when(F.col("__h"), number)).withColumn("part", F.sum(F.col("__h").cast("int")).over(running)).where("part > 0")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("__h"), F.struct("line_no", "line")))), lambda x: x["line"]), "\n")
+    parts = rows.groupBy(key, "part").agg(F.max("__n").alias("__n"), body.alias("content"))
+    k = F.row_number().over(Window.partitionBy(key, "__n").orderBy("part"))
+    suffix = F.when(k == 1, "").when(k == 2, "_dup").otherwise(F.concat(F.lit("_dup"), (k - 1).cast("string")))
+    return parts.select(key, "part", F.concat("__n", suffix).alias("number"), "content")
+
+
+def between_marks(text, start: str, end: str):
+    """What stands between two marks (the start mark included, the end mark not); null if one is missing."""
+    a = F.locate(start, text)
+    b = F.locate(end, text, 1)
+    after = F.expr("1") * (F.length(F.substring_index(text, start, 1)) + len(start))
+    rest = F.substring(text, after + 1, F.length(text))
+    inner = F.substring_index(rest, end, 1)
+    return F.when((a > 0) & (b > 0) & rest.contains(end), F.concat(F.lit(start), inner))

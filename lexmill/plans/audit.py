@@ -158,3 +158,8 @@ def first_and_rest(rows: DataFrame, key: str, message: str, order: str, n: int =
     first = rows.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= n).groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__k", message))), lambda x: x[message]).alias("messages"))
     total = rows.groupBy(key).agg(F.count("*").alias("__n"))
     return first.join(total, key).withColumn("n_more", F.greatest(F.lit(0), F.col("__n") - n)).drop("__n")
+
+
+def write_report(rows: DataFrame, path: str) -> None:
+    """A report as JSON lines, nulls kept; the folder appears as a whole when the job commits."""
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

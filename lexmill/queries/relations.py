@@ -182,17 +182,10 @@ def act_hierarchy(t):
 
 # I: grids ---------------------------------------------------------------------------------------------------------------
 
-_GRID_SQL = "(select l_suppkey % 40 as id, row_number() over (partition by l_suppkey % 40 order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 as row_no, l_quantity as a, l_linenumber::double as b, l_quantity + l_linenumber + case when l_partkey % 9 = 0 then 5 else 0 end as c from lineitem where l_orderkey % 50 = 0)"
-
-
 #: Each order is a grid, over all of lineitem.
 _GRIDS_SQL = "(select l_orderkey as id, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_extendedprice) - 1 as row_no, l_quantity as a, l_linenumber::double as b, l_quantity + l_linenumber + case when l_partkey % 9 = 0 then 5 else 0 end as c from lineitem)"
 
 
-def _grid(t):
-    return _grids(t.lineitem.where("l_orderkey % 50 = 0").withColumn("id", F.col("l_suppkey") % 40))
-
-
 def _grids(rows):
     """Three columns of numbers, the last the sum of the others but for some rows; written the way texts write numbers."""
     w = Window.partitionBy("id").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
@@ -202,15 +195,6 @@ def _grids(rows):
     return rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("o", "r"))).alias("l")).select("id", F.transform("l", lambda x: x["r"]).alias("rows"))
 
 
-@query(
-    f"""with g as {_GRID_SQL}, h as (select id, count(*) as height, count(*) filter (abs(c - (a + b)) <= 1) as hits, count(*) filter (abs(c - (a + b)) > 1) as misses from g group by 1)
-    select g.id, 2 as col_no, g.row_no, c as value, a + b as expected from g join h using (id) where height >= 3 and hits >= 3 and misses > 0 and hits >= 2 * misses and abs(c - (a + b)) > 1"""
-)
-def table_row_sum(t):
-    """Rows that break the sum which the others keep."""
-    return _row_sums(_grid(t))
-
-
 def _row_sums(grids):
     return G.row_sums(G.cells(grids, "id"), "id").select("id", F.col("col_no"), F.col("row_no").cast("long").alias("row_no"), "value", "expected")
 
@@ -219,20 +203,11 @@ def _row_sums(grids):
     f"""with g as {_GRIDS_SQL}, h as (select id, count(*) filter (abs(c - (a + b)) <= 1) as hits, count(*) filter (abs(c - (a + b)) > 1) as misses from g group by 1)
     select g.id, 2 as col_no, g.row_no, c as value, a + b as expected from g join h using (id) where hits >= 3 and hits >= 2 * misses and abs(c - (a + b)) > 1"""
 )
-def table_row_sum_all(t):
-    """The same over the grids of all orders."""
+def table_row_sum(t):
+    """Rows that break the sum which the others keep; each order is a grid."""
     return _row_sums(_grids(t.lineitem.withColumn("id", F.col("l_orderkey"))))
 
 
-@query(
-    f"""with g as (select * from {_GRID_SQL}), s as (select id, sum(a) as a, sum(b) as b, sum(c) as c, count(*) as n from g group by 1)
-    select id, 0 as col_no, a * 1.005::double as announced, a as total from s where n >= 3 and abs(a * 0.005::double) > 1 and id % 2 = 0"""
-)
-def table_total(t):
-    """Announced totals that nearly are the sum (the first column is off by half a percent in even grids)."""
-    return _totals(_grid(t))
-
-
 def _totals(grids):
     cells = G.cells(grids, "id")
     sums = cells.groupBy("id", "col_no").agg(F.sum("value").alias("s"), F.max("row_no").alias("m"))
@@ -244,7 +219,7 @@ def _totals(grids):
     f"""with s as (select id, sum(a) as a, count(*) as n from {_GRIDS_SQL} group by 1)
     select id, 0 as col_no, a * 1.005::double as announced, a as total from s where n >= 3 and abs(a * 0.005::double) > 1 and id % 2 = 0"""
 )
-def table_total_all(t):
+def table_total(t):
     """The same over the grids of all orders."""
     return _totals(_grids(t.lineitem.withColumn("id", F.col("l_orderkey"))))
 
@@ -304,10 +279,11 @@ def union_distinct_flags(t):
     return P.flags_of_documents(flags, articles)
 
 
-@query("with names as (select distinct left(p_name, k) as name from part, (values (4), (7), (9)) v(k) where p_partkey % 3 = 0) select p_partkey, (select max(length(name)) from names where starts_with(lower(p_name), lower(name))) as longest from part")
+@query("with names as (select distinct left(p_name, ([4, 7, 9])[p_partkey % 3 + 1]) as name from part) select p_partkey, (select max(length(name)) from names where starts_with(lower(p_name), lower(name))) as longest from part")
 def prefix_longest(t):
     """The longest name that begins each label."""
-    names = t.part.where("p_partkey % 3 = 0").select(F.explode(F.array(*[F.substring("p_name", 1, k) for k in (4, 7, 9)])).alias("name")).distinct()
+    k = F.element_at(F.array(*map(F.lit, (4, 7, 9))), (F.col("p_partkey") % 3 + 1).cast("int"))
+    names = t.part.select(F.substring(F.col("p_name"), F.lit(1), k).alias("name")).distinct()
     names = names.withColumn("ident", F.length("name").cast("long"))
     return P.longest_prefix(t.part.select("p_partkey", F.col("p_name").alias("label")), "label", names, "name", "ident").select("p_partkey", F.col("ident").alias("longest"))
 
@@ -413,21 +389,12 @@ def dup_clusters(t):
     return D.clusters(rows, "source", "lang", "bucket")
 
 
-@query(
-    """with w as (select source, lang, length(text) % 50 as bucket, doc_id, list_distinct(string_split(left(text, 200), ' ')) as w from documents)
-    select a.source, a.lang, a.bucket, count(*) as n_pairs, round(min(len(list_intersect(a.w, b.w))::double / len(list_distinct(list_concat(a.w, b.w)))), 6) as min_jaccard from w a join w b on a.source = b.source and a.lang = b.lang and a.bucket = b.bucket and a.doc_id < b.doc_id group by 1, 2, 3"""
-)
-def cluster_jaccard(t):
-    """Least Jaccard of the pairs of a cluster."""
-    return _cluster_jaccard(t, F.substring("text", 1, 200))
-
-
 @query(
     """with w as (select source, lang, length(text) % 50 as bucket, doc_id, list_distinct(string_split(text, ' ')) as w from documents)
     select a.source, a.lang, a.bucket, count(*) as n_pairs, round(min(len(list_intersect(a.w, b.w))::double / len(list_distinct(list_concat(a.w, b.w)))), 6) as min_jaccard from w a join w b on a.source = b.source and a.lang = b.lang and a.bucket = b.bucket and a.doc_id < b.doc_id group by 1, 2, 3"""
 )
-def cluster_jaccard_whole(t):
-    """The same over all words of the texts."""
+def cluster_jaccard(t):
+    """Least Jaccard of the pairs of a cluster, over all words of the texts."""
     return _cluster_jaccard(t, F.col("text"))
 
 

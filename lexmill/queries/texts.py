@@ -64,25 +64,14 @@ def render_pages(t):
     return L.render_pages(_pages(t).withColumn("page", F.col("page").cast("int")), "doc_id").select("doc_id", F.sha2("text", 256).alias("sha"))
 
 
-@query(
-    """select doc_id, sha256(lower(trim(regexp_replace(left(text, 200), '\\s+', ' ', 'g')))) as line_sha,
-    coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(source || ' ' || lang || '!'), '[^a-z0-9_-]+', '-', 'g'), '-{2,}', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), ''), 'document') as slug,
-    'flux:' || coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(source || ' ' || lang || '!'), '[^a-z0-9_-]+', '-', 'g'), '-{2,}', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), ''), 'document') as document_key
-    from documents"""
-)
-def clean_keys(t):
-    """Normalised head and keys of each document."""
-    return _clean_keys(t, F.substring("text", 1, 200))
-
-
 @query(
     """select doc_id, sha256(lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))) as line_sha,
     coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(source || ' ' || lang || '!'), '[^a-z0-9_-]+', '-', 'g'), '-{2,}', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), ''), 'document') as slug,
     'flux:' || coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(source || ' ' || lang || '!'), '[^a-z0-9_-]+', '-', 'g'), '-{2,}', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), ''), 'document') as document_key
     from documents"""
 )
-def clean_keys_whole(t):
-    """The same with the whole text normalised."""
+def clean_keys(t):
+    """Normalised text and keys of each document."""
     return _clean_keys(t, F.col("text"))
 
 
@@ -235,12 +224,12 @@ def page_coverage(t):
 
 
 @query(
-    f"""with p as {_PAGES_SQL}, r as (select distinct o_orderkey % 1000 as doc_id, o_orderkey % 9 + 1 as a, o_orderkey % 9 + 1 + o_custkey % 2 as b from orders where o_orderkey % 3 = 0)
+    f"""with p as {_PAGES_SQL}, r as (select distinct o_orderkey % 1000 as doc_id, o_orderkey % 9 + 1 as a, o_orderkey % 9 + 1 + o_custkey % 2 as b from orders)
     select doc_id, page from p where length(content) >= 20 and not exists (select 1 from r where r.doc_id = p.doc_id and p.page between a and b)"""
 )
 def structure_coverage(t):
     """Pages with text that no leaf covers."""
-    r = t.orders.where("o_orderkey % 3 = 0").select((F.col("o_orderkey") % 1000).alias("doc_id"), (F.col("o_orderkey") % 9 + 1).alias("page"), (F.col("o_orderkey") % 9 + 1 + F.col("o_custkey") % 2).alias("page_end"))
+    r = t.orders.select((F.col("o_orderkey") % 1000).alias("doc_id"), (F.col("o_orderkey") % 9 + 1).alias("page"), (F.col("o_orderkey") % 9 + 1 + F.col("o_custkey") % 2).alias("page_end"))
     return L.structure_gaps(_pages(t), r, "doc_id")
 
 
@@ -364,24 +353,13 @@ def checksum_index(t):
     return M.checksum_index(rows)
 
 
-@query(
-    """with f as (select 'd' || (doc_id % 700) as id, sha256(text) as sha256, doc_id from documents where doc_id % 2 = 0), e as (select 'd' || (doc_id % 700) as id, sha256(text) as sha256 from documents where doc_id % 3 = 0 and doc_id < 700),
-    s as (select sha256, min(id) as same from e group by 1)
-    select f.doc_id, case when e.sha256 = f.sha256 then 'existing' when e.sha256 is not null then 'changed' when same is not null then 'duplicate' else 'new' end as verdict from f left join e on e.id = f.id left join s on s.sha256 = f.sha256"""
-)
-def manifest_backfill(t):
-    """Verdict of scanned files against a manifest."""
-    d = t.documents.select("doc_id", F.concat(F.lit("d"), (F.col("doc_id") % 700).cast("string")).alias("id"), F.sha2("text", 256).alias("sha256"))
-    return M.backfill(d.where("doc_id % 2 = 0"), d.where("doc_id % 3 = 0 and doc_id < 700").select("id", "sha256")).select("doc_id", "verdict")
-
-
 @query(
     """with f as (select 'd' || doc_id as id, sha256(text) as sha256, doc_id from documents), e as (select 'd' || doc_id as id, sha256(case when doc_id % 6 = 0 then text || '~' else text end) as sha256 from documents where doc_id % 3 = 0),
     s as (select distinct sha256 from e)
     select f.doc_id, case when e.sha256 = f.sha256 then 'existing' when e.sha256 is not null then 'changed' when s.sha256 is not null then 'duplicate' else 'new' end as verdict from f left join e on e.id = f.id left join s on s.sha256 = f.sha256"""
 )
-def manifest_backfill_all(t):
-    """The same for all documents; the manifest has a third of them, half of those with another checksum."""
+def manifest_backfill(t):
+    """Verdict of scanned files against a manifest that knows a third of them, half of those with another checksum."""
     d = t.documents.select("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
     old = F.when(F.col("doc_id") % 6 == 0, F.concat("text", F.lit("~"))).otherwise(F.col("text"))
     manifest = d.where("doc_id % 3 = 0").select("id", F.sha2(old, 256).alias("sha256"))
