@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -190,30 +193,50 @@ def page_index(lines: DataFrame, key: str, least: int = 8) -> DataFrame:
     return lines.withColumn("norm", match_line(F.col("line"))).where(F.length("norm") >= least)
 
 
-def annotate(docs: DataFrame, text: str, index: str, prefix: str = "DOC", window: int = 250, stem: int = 18, least: int = 8) -> DataFrame:
-    """Page markers put into a text by aligning its lines with an index (array of (norm, page)); one cursor a document."""
-    import re
+class PagePlaces:
+    """Where lines of a page index stand, by how they begin: finding the next one alike takes a few look-ups, not a scan."""
+
+    def __init__(self, index: list, stem: int, least: int):
+        self.pages = [x["page"] for x in index]
+        self.stem, self.least = stem, least
+        self.begins: dict[str, list[int]] = {}  # places of entries that begin so
+        self.heads: dict[str, list[int]] = {}  # places of entries whose first characters, at most ``stem``, are these
+        for place, entry in enumerate(index):
+            head = entry["norm"][:stem]
+            self.heads.setdefault(head, []).append(place)
+            for n in range(least, len(head) + 1):
+                self.begins.setdefault(head[:n], []).append(place)
 
+    def after(self, line: str, start: int, window: int) -> int | None:
+        """The first place from ``start`` on, within a window, whose entry begins like the line, or the line like it."""
+        head = line[: self.stem]
+        lists = [self.begins.get(head, [])] + [self.heads.get(head[:n], []) for n in range(self.least, len(head))]
+        found = [x[i] for x in lists if (i := bisect_left(x, start)) < len(x)]
+        return min(found) if found and min(found) < start + window else None
+
+
+def annotate(docs: DataFrame, text: str, index: str, prefix: str = "DOC", window: int = 250, stem: int = 18, least: int = 8) -> DataFrame:
+    """Page markers put into a text by aligning its lines with an index (array of (norm, page)): lines and index go forward
+    together, and a marker stands before the first line of each page that is recognised."""
     lead, gaps = re.compile(r"^[#>\s*_]+"), re.compile(r"\s+")
 
     def one(text: str, index: list) -> str:
-        out, at, last = [], 0, None
-        for raw in (text or "").split("\n"):
-            norm = gaps.sub(" ", lead.sub("", raw)).strip().lower()
-            if len(norm) >= least:
-                near = range(at, min(len(index), at + window))
-                hit = next((j for j in near if index[j]["norm"].startswith(norm[:stem]) or norm.startswith(index[j]["norm"][:stem])), None)
-                if hit is not None:
-                    at = hit + 1
-                    if index[hit]["page"] != last:
-                        last = index[hit]["page"]
-                        out.append(f"[[{prefix}_PAGE:{last}]]")
-            out.append(raw)
-        return "\n".join(out)
+        places, start, page = PagePlaces(index, stem, least), 0, None
+        marked: list[str] = []
+        for raw in text.split("\n"):
+            line = gaps.sub(" ", lead.sub("", raw)).strip().lower()
+            place = places.after(line, start, window) if len(line) >= least else None
+            if place is not None:
+                start = place + 1
+                if places.pages[place] != page:
+                    page = places.pages[place]
+                    marked.append(f"[[{prefix}_PAGE:{page}]]")
+            marked.append(raw)
+        return "\n".join(marked)
 
     @F.pandas_udf("string")
     def run(t: pd.Series, i: pd.Series) -> pd.Series:
-        return pd.Series([one(a, list(b) if b is not None else []) for a, b in zip(t, i, strict=True)])
+        return pd.Series([one(a or "", list(b) if b is not None else []) for a, b in zip(t, i, strict=True)])
 
     return docs.withColumn("annotated", run(text, index))
 

@@ -168,3 +168,10 @@ def marked_segments(t):
     k = F.col("o_orderkey")
     text = F.when(k % 3 == 0, F.concat(F.lit("x DE: acte "), k, F.lit(" FIN y FIN"))).when(k % 3 == 1, "FIN DE: z").otherwise("rien")
     return t.orders.select("o_orderkey", L.between_marks(text, "DE:", "FIN").alias("segment"))
+
+
+@query("select o_orderkey, o_custkey, o_totalprice from orders")
+def copied_columns(t):
+    """The columns that both sides have, in the target's order, some left out."""
+    target = t.orders.select("o_orderkey", "o_custkey", F.lit(1).alias("own"), "o_totalprice", "o_orderstatus").limit(0)
+    return P.copy_columns(t.orders, target, ("o_orderstatus",))

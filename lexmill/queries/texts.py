@@ -443,7 +443,11 @@ def unescape_math(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", x["text"].alias("text"), F.size(x["refused"]).alias("n_refused"))
 
 
-@query()
+@query(
+    """with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents), n as (select *, (i - 1) // 4 + 1 as page, length(trim(regexp_replace(regexp_replace(line, '^[#>\\s*_]+', ''), '\\s+', ' ', 'g'))) >= 8 as known from l),
+    m as (select *, known and row_number() over (partition by doc_id, page, known order by i) = 1 as marks from n)
+    select doc_id, count(*) filter (marks)::int as n_marks, sha256(string_agg(case when marks then '[[DOC_PAGE:' || page || ']]' || chr(10) else '' end || line, chr(10) order by i)) as sha from m group by 1"""
+)
 def annotate_pages(t):
     """Page markers put into a text by aligned lines."""
     lines = L.lines_of(t.documents, "doc_id", "text").withColumn("page", (F.floor(F.col("line_no") / 4) + 1).cast("int"))
