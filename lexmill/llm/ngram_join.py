@@ -5,7 +5,8 @@ before the join.  Only the groups are asked for, so pairs inside a group that is
 leaders first, then leaders with leaders, then what the metric leaves open.
 
 Defined results: null and empty texts, and texts without words, have an empty set and link with nothing; repeated rows
-and repeated doc_ids are rows of their own; an empty table gives an empty result; columns other than doc_id and
+and repeated doc_ids are rows of their own; texts of any length are worked on whole, their sets compared exactly; ties of rarity are
+broken by the shingle's hash, the same way for all sets; an empty table gives an empty result; columns other than doc_id and
 text are ignored.
 """
 

@@ -8,7 +8,8 @@ payload bits; selectors 1-14 hold 1 to 60 ids of 60 to 1 bits, lowest bits first
 payload is an index into ``literals``.  Shards are range partitions of doc_id, numbered in order.
 
 Defined results: a null or empty text is the end id alone; rows without doc_id come first; repeated rows are
-repeated documents (equal doc_ids ordered by a hash of their text); an empty table writes no segment.
+repeated documents (equal doc_ids ordered by a hash of their text); a very long text is one document of one segment, so a row
+holds its ids at least; columns other than doc_id and text are ignored; an empty table writes no segment.
 """
 
 from __future__ import annotations

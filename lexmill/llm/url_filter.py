@@ -8,7 +8,8 @@ for the host's last label its share of all urls and its smoothed block rate amon
 DataFrame functions only.
 
 Defined results: a null url, or one without ``://``, has empty host and path and is judged by the trees; repeated rows
-are judged alike; an empty table gives an empty result; if the labelled urls know one class only, that class is
+are judged alike; urls of any length are read whole; of rules of equal length that fit, the first in the alphabet counts; columns other
+than page_id and url are ignored; an empty table gives an empty result; if the labelled urls know one class only, that class is
 the verdict, and ``allow`` if there are none.
 """
 
