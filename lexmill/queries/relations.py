@@ -158,7 +158,7 @@ def parent_consistency(t):
 def interval_overlap(t):
     """Validity intervals that overlap an earlier one."""
     v = t.orders.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("a"), F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 90 + 1).cast("int")).alias("b"))
-    return H.overlaps(v, "o_custkey", "a", "b").select("o_custkey", "o_orderkey")
+    return H.overlaps(v, "o_custkey", "a", "b", "o_orderkey").select("o_custkey", "o_orderkey")
 
 
 @query(

@@ -73,3 +73,14 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.read.json(f"{tmp_path}/out").count() == 2
     write_report(spark.createDataFrame([(1, None), (2, "x")], "a int, b string"), f"{tmp_path}/report")
     assert sorted(r[0] for r in spark.read.text(f"{tmp_path}/report").collect()) == ['{"a":1,"b":null}', '{"a":2,"b":"x"}']
+
+
+def test_equal_intervals_by_key(spark, tmp_path):
+    import datetime
+
+    # orders 90 keys apart have equal intervals: only the one of least key doesn't overlap an earlier one
+    day = datetime.datetime(2020, 5, 4)
+    rows = [(k, c, day) for c in range(20) for k in range(c + 900, c, -90)] + [(5, 77, None), (6, 77, None), (7, 77, day)]
+    at = put(spark, tmp_path, "orders", rows, "o_orderkey long, o_custkey long, o_orderdate timestamp")
+    got = {(r["o_custkey"], r["o_orderkey"]) for r in QUERIES["interval_overlap"](spark, at).collect()}
+    assert got == {(c, k) for k, c, d in rows if c < 77 and k > c + 90}
