@@ -49,6 +49,15 @@ def cluster_pairs(members: DataFrame, ident: str, *keys: str) -> DataFrame:
     return a.join(b, list(keys)).where(F.col(f"a.{ident}") < F.col(f"b.{ident}"))
 
 
+def pair_counts(docs: DataFrame, ident: str, *keys: str) -> DataFrame:
+    """Pairs (i before j) inside a cluster, counted: rows of one identifier are no pair."""
+    known = F.col(ident).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    rows = docs.where(known).groupBy(*keys, ident).agg(F.count("*").alias("c"))
+    return rows.groupBy(*keys).agg(F.expr("(sum(c) * sum(c) - sum(c * c)) div 2").alias("n_pairs")).where("n_pairs > 0")
+
+
 def assess(members: DataFrame, ident: str, keys: list[str]) -> DataFrame:
     """One row for each cluster: signals, tier, warnings, and the document to keep (null: a person decides).
 

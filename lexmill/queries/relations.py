@@ -10,6 +10,7 @@ from ..operators import diff as X
 from ..operators import grids as G
 from ..operators import hierarchy as H
 from ..operators import sequence as S
+from ..operators.least import least_jaccard
 from ..plans import promotion as P
 from ..streaming import jobs as J
 from .registry import query
@@ -399,9 +400,10 @@ def cluster_jaccard(t):
 
 
 def _cluster_jaccard(t, text):
-    rows = t.documents.select("source", "lang", (F.length("text") % 50).alias("bucket"), "doc_id", F.array_distinct(F.split(text, " ")).alias("w"))
-    pairs = D.cluster_pairs(rows, "doc_id", "source", "lang", "bucket")
-    return pairs.groupBy("source", "lang", "bucket").agg(F.count("*").alias("n_pairs"), F.round(F.min(D.jaccard(F.col("a.w"), F.col("b.w"))), 6).alias("min_jaccard"))
+    rows = t.documents.select("source", "lang", (F.length("text") % 50).alias("bucket"), "doc_id", text.alias("words"))
+    keys = ["source", "lang", "bucket"]
+    least = least_jaccard(rows, keys, "doc_id", "words", " ")
+    return D.pair_counts(rows, "doc_id", *keys).join(least, keys).select(*keys, "n_pairs", F.round("least", 6).alias("min_jaccard"))
 
 
 @query()
