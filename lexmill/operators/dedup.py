@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .least import least_jaccard, least_similarity
 
 #: Limits of the tiers, characters compared, and the rank of a curation status.
 JACCARD, SIMILARITY, SAMPLE = 0.8, 0.85, 20_000
@@ -28,27 +28,6 @@ def clusters(docs: DataFrame, *keys: str) -> DataFrame:
     return docs.where(known).withColumn("n_in_cluster", F.count("*").over(w)).where("n_in_cluster > 1")
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """Jaccard of two sets; 1 if both are empty."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
-
-
-@F.pandas_udf(T.DoubleType())
-def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratio of matching blocks; 0 if a text is empty."""
-    from difflib import SequenceMatcher
-
-    return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
-
-
-def cluster_pairs(members: DataFrame, ident: str, *keys: str) -> DataFrame:
-    """Pairs (a before b) inside a cluster.  Give it the distinct contents of a cluster: copies need no pairs."""
-    a = members.select(*keys, F.struct(*members.columns).alias("a"))
-    b = members.select(*keys, F.struct(*members.columns).alias("b"))
-    return a.join(b, list(keys)).where(F.col(f"a.{ident}") < F.col(f"b.{ident}"))
-
-
 def pair_counts(docs: DataFrame, ident: str, *keys: str) -> DataFrame:
     """Pairs (i before j) inside a cluster, counted: rows of one identifier are no pair."""
     known = F.col(ident).isNotNull()
@@ -58,16 +37,17 @@ def pair_counts(docs: DataFrame, ident: str, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.expr("(sum(c) * sum(c) - sum(c * c)) div 2").alias("n_pairs")).where("n_pairs > 0")
 
 
-def assess(members: DataFrame, ident: str, keys: list[str]) -> DataFrame:
+def assess(members: DataFrame, ident: str, keys: list[str], separator: str | None = None) -> DataFrame:
     """One row for each cluster: signals, tier, warnings, and the document to keep (null: a person decides).
 
     members: ident, keys, content_hash, numbers, n_articles, sample, journal_id, role, status, flags_blocking, created_at.
+    numbers: arrays, or with a separator texts that it parts.  All pairs of documents count, the one of lesser ident first; equal contents
+    are compared once in either order that their documents stand in.
     """
-    # equal contents are one member here: a pair of copies can't be the least alike, unless they are all there is
-    distinct = members.withColumn("sample", F.substring("sample", 1, SAMPLE)).groupBy(*keys, "numbers", "sample").agg(F.min(ident).alias(ident), F.count("*").alias("copies"))
-    copied = distinct.where("copies > 1").select(*keys, F.struct(*distinct.columns).alias("a"), F.struct(*distinct.columns).alias("b"))
-    pairs = cluster_pairs(distinct, ident, *keys).unionByName(copied)
-    pairs = pairs.groupBy(*keys).agg(F.min(jaccard(F.col("a.numbers"), F.col("b.numbers"))).alias("min_jaccard"), F.min(text_similarity("a.sample", "b.sample")).alias("min_similarity"))
+    sample = F.coalesce(F.substring("sample", 1, SAMPLE), F.lit(""))
+    pairs = least_jaccard(members, keys, ident, "numbers", separator).withColumnRenamed("least", "min_jaccard")
+    alike = least_similarity(members.select(*keys, ident, sample.alias("sample")), keys, ident, "sample").withColumnRenamed("least", "min_similarity")
+    pairs = pairs.join(alike, keys, "full")
     rank = F.lit(-1)
     for status, r in RANKS.items():
         rank = F.when(F.col("status") == status, r).otherwise(rank)

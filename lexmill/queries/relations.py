@@ -411,10 +411,10 @@ def cluster_assessment(t):
     """Tier, warnings and the document to keep of each cluster."""
     k = F.col("doc_id")
     rows = t.documents.select(
-        "source", "lang", (F.length("text") % 50).alias("bucket"), "doc_id", F.sha2("text", 256).alias("content_hash"), F.array_distinct(F.split("text", " ")).alias("numbers"), F.size(F.split("text", "\n")).cast("long").alias("n_articles"),
+        "source", "lang", (F.length("text") % 50).alias("bucket"), "doc_id", F.sha2("text", 256).alias("content_hash"), F.col("text").alias("numbers"), F.size(F.split("text", "\n")).cast("long").alias("n_articles"),
         F.col("text").alias("sample"), F.when(k % 3 == 0, k).alias("journal_id"), F.when(k % 5 == 0, "STOCK").otherwise("FLUX").alias("role"), F.when(k % 7 == 0, "published").otherwise("draft").alias("status"), (k % 4).alias("flags_blocking"), F.timestamp_seconds(k).alias("created_at"),
     )
-    return D.assess(D.clusters(rows, "source", "lang", "bucket").drop("n_in_cluster"), "doc_id", ["source", "lang", "bucket"])
+    return D.assess(D.clusters(rows, "source", "lang", "bucket").drop("n_in_cluster"), "doc_id", ["source", "lang", "bucket"], " ")
 
 
 @query("select o_orderkey, o_orderdate, (select count(*) from orders where o_orderstatus = 'F') as total, (select ceil(count(*) / 50.0)::bigint from orders where o_orderstatus = 'F') as pages from orders where o_orderstatus = 'F' order by o_orderdate desc, o_orderkey limit 50 offset 100")
