@@ -6,7 +6,8 @@ read again as the next one's docs.  All but the last return the columns of ``doc
 1. toxicity: documents predicted toxic go.
 2. line_dedup: lines that repeat an earlier line go; a document left without any text goes.
 3. ngram_join: of every group of similar documents the first stays.
-4. suffix_dedup: long repeated byte strings go; a document left without any text goes.
+4. suffix_dedup: strings of 400 bytes that repeat go, and passages of more than 50 words that repeat; a document left without any
+   text goes.
 5. packing: what is left is tokenised and packed.
 
 Defined results: rows with a null text pass all filtering stages and pack as an end id; empty texts do, too, as nothing was
@@ -27,6 +28,8 @@ from lexmill.llm.packing import best_fit_packing
 from lexmill.llm.suffix_dedup import suffix_dedup
 from lexmill.llm.toxicity import fold_of, learn, score
 
+#: Words of a passage that goes if it repeats, however few its bytes.
+PASSAGE = 51
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -57,7 +60,7 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _columns(_emptied(suffix_dedup(spark, docs.select(*COLUMNS))))
+    return _columns(_emptied(suffix_dedup(spark, docs.select(*COLUMNS), words=PASSAGE)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

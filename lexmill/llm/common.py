@@ -8,6 +8,7 @@ cluster a folder in its warehouse.  Results are lazy and read those tables, so t
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -58,6 +59,13 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(df._lexmill_path)
             path.getFileSystem(conf).delete(path, True)
 
+    def clear(self) -> None:
+        """Delete all tables of a call whose result is written elsewhere; Spark drops shuffle files with the plans that are collected."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -16,6 +16,10 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
    more bytes, so each half falls apart by those bytes, equal contexts collapse again, and what is left is
    indexed.  After at most nine splits a group is a single window place, whose members are equal windows.
 
+With ``words``, passages of that many words that repeat go, too, whatever their bytes: the same index is built over texts whose
+words stand as codes of six bytes, and what it finds counts in whole words.  Words are those of ``shingles`` (A-Z lower-cased, any
+white space between them).
+
 Defined results: a null text is empty: nothing removed; repeated rows are each other's copies, so their windows are
 all removed, and so are those of repeated doc_ids, each row on its own; texts shorter than ``length`` stay whole;
 texts of any length are judged whole; columns of the input named like ours pass through untouched, but for n_removed, which is
@@ -25,6 +29,8 @@ written anew; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, shuffle_partitions
-from .shingles import buffers, chunks, mix
+from .shingles import buffers, chunks, mix, units
 
 _U = np.uint64
 GRAM = 24
@@ -46,6 +52,9 @@ TEXT_BYTES = 4 << 20
 FLANK_ROWS = 500
 #: Windows scanned at once in very long texts.
 SEGMENT = 1 << 22
+#: Bytes of a word's code, and of the shortest string of codes that an anchor is made of.
+CODE, CODES = 6, 18
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Low bits of a sort key that hold the place (texts below 2 GB).
 _PLACES = np.uint64(31)
 _BASE = 0x9E3779B97F4A7C55
@@ -140,6 +149,23 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _READY[0], _READY[1]
 
 
+def word_codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a string column with every word as a code."""
+    data, offsets = buffers(column)
+    codes, sizes = [np.zeros(0, np.uint8)], [np.zeros(1, np.int64)]
+    for first, last in chunks(offsets):
+        _, _, of, words = units(data, offsets[first : last + 1], lines=False, width=1)
+        codes.append(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE].ravel())
+        sizes.append(CODE * np.bincount(of, minlength=last - first))
+    return np.concatenate(codes), np.cumsum(np.concatenate(sizes))
+
+
+def in_bytes(raw: bytes, spans: list[dict]) -> list[tuple[int, int]]:
+    """Spans of a text in bytes; some count its words."""
+    at = [m.span() for m in _WORD.finditer(raw)] if any(x["words"] for x in spans) else []
+    return [(at[x["lo"]][0], at[x["hi"] - 1][1]) if x["words"] else (x["lo"], x["hi"]) for x in spans]
+
+
 class RunIndex:
     """Run-length Burrows-Wheeler index of a text of small integers whose suffixes all differ."""
 
@@ -250,15 +276,18 @@ def marked(groups: np.ndarray, lefts: list[bytes], rights: list[bytes], width: n
     return least, most
 
 
-def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """docs: (row long unique, text) -> (row, lo, hi): byte spans whose union is what repeats."""
-    scratch = Scratch(spark, "repeats")
+def repeated_spans(
+    spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES, stream: Callable = buffers, scratch: Scratch | None = None
+) -> DataFrame:
+    """docs: (row long unique, text) -> (row, lo, hi): spans of the stream (bytes of the texts, or codes of words) whose union is
+    what repeats."""
+    scratch = scratch or Scratch(spark, "repeats")
     docs = docs.select("row", "text")
     w = length - gram
 
     def anchor_rows(batches):
         for batch in batches:
-            data, offsets = buffers(batch.column(1))
+            data, offsets = stream(batch.column(1))
             for first, last in chunks(offsets, TEXT_BYTES):
                 outs, owners = [], []
                 for i in first + np.flatnonzero(np.diff(offsets[first : last + 1]) >= length):
@@ -295,7 +324,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = 400, gram
     def flanks(batches):
         names = ["g", "a", "b", "row", "pos", "need", "lf", "rf"]
         for batch in (whole.slice(i, FLANK_ROWS) for whole in batches for i in range(0, whole.num_rows, FLANK_ROWS)):
-            data, offsets = buffers(batch.column(1))
+            data, offsets = stream(batch.column(1))
             out: list[list] = [[] for _ in names]
             for i, (row, of) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 text = data[offsets[i] : offsets[i + 1]].tobytes()
@@ -379,8 +408,17 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES, digest: bool = False, with_text: bool = False) -> DataFrame:
-    """Remove what repeats.  With ``digest``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, text; else the
+def repeated_words(spark: SparkSession, docs: DataFrame, words: int, index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """docs: (row long unique, text) -> (row, lo, hi): spans of words whose union is all passages of ``words`` words that repeat."""
+    spans = repeated_spans(spark, docs, CODE * words, min(CODES, CODE * words // 2), index_bytes, word_codes)
+    # codes beside a passage may begin or end alike: only whole ones count
+    return spans.select("row", F.ceil(F.col("lo") / CODE).alias("lo"), F.floor(F.col("hi") / CODE).alias("hi"))
+
+
+def suffix_dedup(
+    spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES, digest: bool = False, with_text: bool = False, words: int = 0
+) -> DataFrame:
+    """Remove what repeats: strings of ``length`` bytes and, if given, passages of ``words`` words.  With ``digest``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, text; else the
     input's columns plus n_removed.  ``text`` is what is left of the text (bytes that a cut inside a letter leaves over are dropped)."""
     from .common import hidden
     from .line_dedup import SLICE, with_rows
@@ -389,8 +427,13 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, gram:
     named = docs.select("doc_id", "text") if digest else docs.drop("n_removed")
     inner, own = hidden(named, "doc_id", "text")
     numbered, rows = with_rows(scratch, inner)
-    spans = repeated_spans(spark, rows, length, gram, index_bytes)
-    by_row = spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    first = Scratch(spark, "repeats")
+    spans = repeated_spans(spark, rows, length, gram, index_bytes, scratch=first).withColumn("words", F.lit(False))
+    if words:  # one index at a time: the tables of the first go before the second is made
+        spans = scratch.keep(spans, "spans")
+        first.clear()
+        spans = spans.unionByName(repeated_words(spark, rows, words, index_bytes).withColumn("words", F.lit(True)))
+    by_row = spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi", "words")).alias("__spans"))
     joined = numbered.join(by_row.hint("shuffle_hash"), "row", "left").select(*[F.col(c).cast("string") if c == "text" else c for c in own], "__spans")
     at = own.index("text")
 
@@ -399,7 +442,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, gram:
             out: list[list] = [[], [], [], [], []]
             for text, spans in zip(b.column(at).to_pylist(), b.column(len(own)).to_pylist(), strict=True):
                 raw = (text or "").encode()
-                gone = merge([(x["lo"], x["hi"]) for x in spans or ()])
+                gone = merge(in_bytes(raw, spans or []))
                 kept, last = [], 0
                 for lo, hi in gone:
                     kept.append(raw[last:lo])

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -97,3 +98,53 @@ def test_odd_tables(spark):
     rows = [(1, "q" * 450, "e", 1), (1, "q" * 450, "e", 1), (None, None, None, None), (2, "short", "e", 2)]
     out = suffix_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, n_removed int"))
     assert sorted(((r["doc_id"], r["text"], r["lang"], r["n_removed"]) for r in out.collect()), key=str) == sorted([(1, "", "e", 450), (1, "", "e", 450), (None, None, None, 0), (2, "short", "e", 0)], key=str)
+
+
+def brute_words(docs, n):
+    """Kept text of each document without the passages of n words that repeat."""
+    found = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for _, t in docs]
+    words = [[(t or "").encode()[a:z].lower() for a, z in at] for (_, t), at in zip(docs, found, strict=True)]
+    seen = Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1))
+    out = []
+    for (_, t), at, w in zip(docs, found, words, strict=True):
+        raw, gone = (t or "").encode(), bytearray(len((t or "").encode()))
+        for i in range(len(w) - n + 1):
+            if seen[tuple(w[i : i + n])] > 1:
+                lo, hi = at[i][0], at[i + n - 1][1]
+                gone[lo:hi] = b"\1" * (hi - lo)
+        out.append(None if t is None else bytes(x for x, g in zip(raw, gone, strict=True) if not g).decode())
+    return out
+
+
+@pytest.mark.parametrize("seed,index_bytes", [(1, 1 << 20), (2, 1 << 20), (3, 300)])
+def test_words_match_brute_force(spark, seed, index_bytes):
+    rng = random.Random(seed)
+    word = lambda: rng.choice(["a", "B", "é", "cd", "the", "longer-word", "x|y", "und"])
+    space = lambda: rng.choice([" ", "  ", "\n", "\t"])
+    passages = [[word() for _ in range(k)] for k in (9, 10, 11, 14, 40)]
+    texts = [None, "", "a", "a " * 30, "  " + "the\n" * 9]
+    while len(texts) < 120:
+        of = [word() for _ in range(rng.randrange(25))]
+        for _ in range(rng.randrange(3)):
+            p = rng.choice(passages)
+            of += p[: rng.randrange(7, len(p) + 1)] if rng.random() < 0.3 else p
+            of += [word() for _ in range(rng.randrange(6))]
+        texts.append("".join(w + space() for w in of))
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = suffix_dedup(spark, df, length=100_000, index_bytes=index_bytes, words=10).collect()
+    assert [r["text"] for r in sorted(got, key=lambda r: r["doc_id"])] == brute_words(docs, 10)
+
+
+def test_pipeline_stage_finds_short_passages(spark, tmp_path):
+    """Passages of over 50 words, below 400 bytes."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choice("abcdefghijklmnopq") + str(rng.randrange(999)) for _ in range(n))
+    long, short = text(51), text(50)
+    assert len(long) < 400
+    docs = [(i, f"{text(30)} start{i} {p} end{i} {text(30)}", "en", "s", 0) for i, p in enumerate([long] * 3 + [short] * 3 + [text(60)])]
+    out = pipeline.drop_repeats(spark, spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), str(tmp_path)).collect()
+    got = {r["doc_id"]: r["text"] for r in out}
+    assert got == {d: t.replace(long, "") for d, t, *_ in docs}
+    assert all(r["n_chars"] == len(r["text"]) for r in out)
