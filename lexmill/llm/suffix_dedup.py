@@ -17,7 +17,7 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
    indexed.  After at most nine splits a group is a single window place, whose members are equal windows.
 
 With ``words``, passages of that many words that repeat go, too, whatever their bytes: the same index is built over texts whose
-words stand as codes of six bytes, and what it finds counts in whole words.  Words are those of ``shingles`` (A-Z lower-cased, any
+symbols are words instead of bytes, each a code of six bytes.  Words are those of ``shingles`` (A-Z lower-cased, any
 white space between them).
 
 Defined results: a null text is empty: nothing removed; repeated rows are each other's copies, so their windows are
@@ -44,16 +44,16 @@ _U = np.uint64
 GRAM = 24
 #: Parts of the window places that contexts are grouped by.
 PARTS = 4
-#: Most bytes of flanks that one index holds.
-INDEX_BYTES = 3 << 20
+#: Most bytes, and most words, of flanks that one index holds.
+INDEX_BYTES, INDEX_WORDS = 3 << 20, 1 << 20
 #: Bytes of texts whose anchors a task holds at a time.
 TEXT_BYTES = 4 << 20
 #: Texts whose flanks a task holds at a time.
 FLANK_ROWS = 500
 #: Windows scanned at once in very long texts.
 SEGMENT = 1 << 22
-#: Bytes of a word's code, and of the shortest string of codes that an anchor is made of.
-CODE, CODES = 6, 18
+#: Bytes of a word's code, and words of an anchor.
+CODE, GRAM_WORDS = 6, 12
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Low bits of a sort key that hold the place (texts below 2 GB).
 _PLACES = np.uint64(31)
@@ -70,7 +70,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def prefix_hash(b: np.ndarray, powers: np.ndarray) -> np.ndarray:
     out = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_VALUE[b] * powers[: len(b)], out=out[1:])
+    np.cumsum((_VALUE[b] if b.dtype == np.uint8 else mix(b)) * powers[: len(b)], out=out[1:])
     return out
 
 
@@ -150,16 +150,32 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column with every word as a code."""
+    """(codes of the words, offsets) of a string column."""
     data, offsets = buffers(column)
-    codes, sizes = [np.zeros(0, np.uint8)], [np.zeros(1, np.int64)]
+    codes, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
     for first, last in chunks(offsets):
         _, _, of, words = units(data, offsets[first : last + 1], lines=False, width=1)
-        codes.append(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE].ravel())
-        sizes.append(CODE * np.bincount(of, minlength=last - first))
+        codes.append(words & _U((1 << 8 * CODE) - 1))
+        sizes.append(np.bincount(of, minlength=last - first))
     return np.concatenate(codes), np.cumsum(np.concatenate(sizes))
 
 
+def packed(symbols: np.ndarray) -> bytes:
+    """Bytes as they are, words as codes."""
+    return symbols.tobytes() if symbols.dtype == np.uint8 else symbols.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes()
+
+
+def ranked(raw: bytes, size: int) -> tuple[np.ndarray, int]:
+    """Symbols of packed bytes as small integers, and a bound of them."""
+    b = np.frombuffer(raw, np.uint8)
+    if size == 1:
+        return b.astype(np.int64), 256
+    wide = np.zeros((len(b) // size, 8), np.uint8)
+    wide[:, :size] = b.reshape(-1, size)
+    found, rank = np.unique(wide.view("<u8").ravel(), return_inverse=True)
+    return rank.astype(np.int64), len(found)
+
+
 def in_bytes(raw: bytes, spans: list[dict]) -> list[tuple[int, int]]:
     """Spans of a text in bytes; some count its words."""
     at = [m.span() for m in _WORD.finditer(raw)] if any(x["words"] for x in spans) else []
@@ -248,21 +264,22 @@ class RunIndex:
         return np.maximum(self._stream(self.heads, self.heads - 1), self._stream(self.tails, self.tails + 1))
 
 
-def marked(groups: np.ndarray, lefts: list[bytes], rights: list[bytes], width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def marked(groups: np.ndarray, lefts: list[bytes], rights: list[bytes], width: np.ndarray, size: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Repeated windows of contexts (left flank, shared symbol, right flank) within their groups.
 
-    width: flank bytes plus the symbol that a window holds.  Returns for each context the least and the
-    greatest number of left flank bytes in a repeated window (-1, -1 if none).
+    width: flank symbols (of ``size`` bytes) plus the shared one that a window holds.  Returns for each context the least and the
+    greatest number of left flank symbols in a repeated window (-1, -1 if none).
     """
     n = len(groups)
-    sizes = np.array([len(a) + len(b) + 2 for a, b in zip(lefts, rights, strict=True)])
+    sizes = np.array([(len(a) + len(b)) // size + 2 for a, b in zip(lefts, rights, strict=True)])
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    centre = starts + np.array([len(a) for a in lefts])
-    text = np.frombuffer(b"".join([a + b"\0" + b + b"\0" for a, b in zip(lefts, rights, strict=True)]), np.uint8).astype(np.int64)
+    centre = starts + np.array([len(a) // size for a in lefts])
+    gap = bytes(size)
+    text, bound = ranked(b"".join([a + gap + b + gap for a, b in zip(lefts, rights, strict=True)]), size)
     _, group = np.unique(groups, return_inverse=True)
-    text[centre] = 256 + group
-    text[ends - 1] = 256 + n + np.arange(n)
+    text[centre] = bound + group
+    text[ends - 1] = bound + n + np.arange(n)
     index = RunIndex(text)
     reach = index.statistics()
     of = np.repeat(np.arange(n), sizes)
@@ -277,23 +294,23 @@ def marked(groups: np.ndarray, lefts: list[bytes], rights: list[bytes], width: n
 
 
 def repeated_spans(
-    spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES, stream: Callable = buffers, scratch: Scratch | None = None
+    spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, most: int = INDEX_BYTES, stream: Callable = buffers, size: int = 1, scratch: Scratch | None = None
 ) -> DataFrame:
-    """docs: (row long unique, text) -> (row, lo, hi): spans of the stream (bytes of the texts, or codes of words) whose union is
-    what repeats."""
+    """docs: (row long unique, text) -> (row, lo, hi): spans of the stream (bytes of the texts, or words) whose union is what
+    repeats.  size: bytes of a symbol; most: symbols that one index holds."""
     scratch = scratch or Scratch(spark, "repeats")
     docs = docs.select("row", "text")
     w = length - gram
 
     def anchor_rows(batches):
         for batch in batches:
-            data, offsets = stream(batch.column(1))
-            for first, last in chunks(offsets, TEXT_BYTES):
+            for first, last in chunks(buffers(batch.column(1))[1], TEXT_BYTES):
+                data, offsets = stream(batch.column(1).slice(first, last - first))
                 outs, owners = [], []
-                for i in first + np.flatnonzero(np.diff(offsets[first : last + 1]) >= length):
+                for i in np.flatnonzero(np.diff(offsets) >= length):
                     got = scan(data[offsets[i] : offsets[i + 1]], length, gram)
                     outs.append(got)
-                    owners.append(np.full(len(got[0]), i))
+                    owners.append(np.full(len(got[0]), first + i))
                 if not outs:
                     continue
                 at, h, left, right, ctx, *shared = (np.concatenate(x) for x in zip(*outs, strict=True))
@@ -304,15 +321,17 @@ def repeated_spans(
 
     keys = [f"p{k}" for k in range(PARTS)]
     seen = scratch.keep(docs.mapInArrow(anchor_rows, "h long, row long, pos long, l int, r int, ctx long, " + ", ".join(f"{k} long" for k in keys)), "anchors")
-    contexts = seen.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("one"), *[F.first(k).alias(k) for k in keys])
-    met = contexts.groupBy("h").agg(F.sum("n").alias("met")).where("met > 1").select("h")
+    # minima of plain numbers, so that rows are hashed, not sorted
+    one_row, one_pos = F.min("row").alias("one_row"), F.min_by("pos", "row").alias("one_pos")
+    contexts = seen.groupBy("h", "ctx").agg(F.count("*").alias("n"), one_row, one_pos, *[F.first(k).alias(k) for k in keys])
+    met = seen.groupBy("h").agg(F.count("*").alias("met")).where("met > 1").select("h")
     contexts = scratch.keep(contexts.join(met, "h", "left_semi"), "contexts")
     # contexts that repeat as a whole
     whole = seen.select("h", "ctx", "row", "pos", "l", "r").join(contexts.where("n > 1").select("h", "ctx"), ["h", "ctx"], "left_semi")
     spans = [whole.select("row", (F.col("pos") - F.col("l")).alias("lo"), (F.col("pos") + gram + F.col("r")).alias("hi"))]
     # the others by parts of the window places
     groups = F.array(*[F.when(F.col(k).isNotNull(), F.struct(F.xxhash64("h", k, F.lit(i)).alias("g"), F.lit(a).alias("lo"), F.lit(b).alias("hi"))) for i, (k, (a, b)) in enumerate(zip(keys, parts(w), strict=True))])
-    split = contexts.select(F.explode(groups).alias("x"), F.col("one.row").alias("row"), F.col("one.pos").alias("pos"), (F.col("n") == 1).alias("need")).where("x is not null")
+    split = contexts.select(F.explode(groups).alias("x"), F.col("one_row").alias("row"), F.col("one_pos").alias("pos"), (F.col("n") == 1).alias("need")).where("x is not null")
     split = split.select(F.col("x.g").alias("g"), F.col("x.lo").alias("a"), F.col("x.hi").alias("b"), "row", "pos", "need")
     live = split.groupBy("g").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n > 1 and need").select("g")
     split = scratch.keep(split.join(live, "g", "left_semi"), "split")
@@ -327,11 +346,11 @@ def repeated_spans(
             data, offsets = stream(batch.column(1))
             out: list[list] = [[] for _ in names]
             for i, (row, of) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                text = data[offsets[i] : offsets[i + 1]].tobytes()
+                text = packed(data[offsets[i] : offsets[i + 1]])
                 for x in of:
                     a, b, p = x["a"], x["b"], x["pos"]
                     end = p + gram
-                    values = (x["g"], a, b, row, p, x["need"], text[max(0, p - b) : max(0, p - a)], text[end + w - b : end + w - a])
+                    values = (x["g"], a, b, row, p, x["need"], text[size * max(0, p - b) : size * max(0, p - a)], text[size * (end + w - b) : size * (end + w - a)])
                     for col, v in zip(out, values, strict=True):
                         col.append(v)
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
@@ -339,11 +358,11 @@ def repeated_spans(
 
     schema = "g long, a int, b int, row long, pos long, need boolean, lf binary, rf binary"
     items = scratch.keep(picked.mapInArrow(flanks, schema), "flanks")
-    low, high = F.greatest(F.col("a"), F.col("b") - F.length("rf")), F.least(F.col("b"), F.col("a") + F.length("lf"))
+    low, high = F.expr(f"greatest(a, b - length(rf) div {size})"), F.expr(f"least(b, a + length(lf) div {size})")
 
     def find(table: pa.Table) -> pa.Table:
         g, a, b = (table.column(c).to_numpy() for c in ("g", "a", "b"))
-        least, most = marked(g, table.column("lf").to_pylist(), table.column("rf").to_pylist(), b - a + 1)
+        least, most = marked(g, table.column("lf").to_pylist(), table.column("rf").to_pylist(), b - a + 1, size)
         ok = (most >= 0) & table.column("need").to_numpy()
         row, pos = table.column("row").to_numpy()[ok], table.column("pos").to_numpy()[ok]
         return pa.table([pa.array(row), pa.array(pos - a[ok] - most[ok]), pa.array(pos - a[ok] - least[ok] + length)], names=["row", "lo", "hi"])
@@ -352,44 +371,44 @@ def repeated_spans(
         items = items.where(low <= high)
         alike = ["g", "a", "b", "kl", "kr"]
         keyed = items.withColumns({"kl": F.xxhash64("lf", F.length("lf")), "kr": F.xxhash64("rf", F.length("rf"))})
-        equal = keyed.groupBy(*alike).agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("one"))
+        equal = keyed.groupBy(*alike).agg(F.count("*").alias("n"), one_row, one_pos)
         both = scratch.keep(keyed.join(equal, alike), "equal")
         spans.append(both.where("n > 1 and need").select("row", (F.col("pos") - high).alias("lo"), (F.col("pos") - low + length).alias("hi")))
-        one = both.where((F.col("one.row") == F.col("row")) & (F.col("one.pos") == F.col("pos")))
+        one = both.where("one_row = row and one_pos = pos")
         one = one.select("g", "a", "b", "row", "pos", (F.col("need") & (F.col("n") == 1)).alias("need"), "lf", "rf")
-        sizes = one.groupBy("g").agg(F.count("*").alias("n"), F.max("need").alias("need"), F.sum(F.length("lf") + F.length("rf") + 2).alias("bytes")).where("n > 1 and need")
-        sizes = scratch.keep(sizes.select("g", "bytes"), "sizes")
-        total, most = sizes.agg(F.sum("bytes"), F.max("bytes")).first()
+        sizes = one.groupBy("g").agg(F.count("*").alias("n"), F.max("need").alias("need"), F.sum(F.expr(f"(length(lf) + length(rf)) div {size} + 2")).alias("symbols")).where("n > 1 and need")
+        sizes = scratch.keep(sizes.select("g", "symbols"), "sizes")
+        total, largest = sizes.agg(F.sum("symbols"), F.max("symbols")).first()
         if not total:
             break
-        fit = sizes.where(F.col("bytes") <= index_bytes).select("g")
-        blocks = max(1, -(-int(total) // (index_bytes // 2)), min(shuffle_partitions(spark), int(total) // (index_bytes // 16)))
+        fit = sizes.where(F.col("symbols") <= most).select("g")
+        blocks = max(1, -(-int(total) // (most // 2)), min(shuffle_partitions(spark), int(total) // (most // 16)))
         indexed = one.join(fit, "g", "left_semi").withColumn("block", F.pmod(F.xxhash64("g"), F.lit(blocks)))
         spans.append(scratch.keep(indexed.groupBy("block").applyInArrow(find, "row long, lo long, hi long"), "found"))
-        if most <= index_bytes:
+        if largest <= most:
             break
-        large = one.join(sizes.where(F.col("bytes") > index_bytes).select("g"), "g", "left_semi")
+        large = one.join(sizes.where(F.col("symbols") > most).select("g"), "g", "left_semi")
         m = F.floor((F.col("a") + F.col("b")) / 2).cast("int")
         large = large.withColumn("m", m)
-        lower = large.where(F.length("rf") >= F.col("b") - F.col("m")).select(
-            F.xxhash64("g", F.expr("substring(rf, 1, b - m)"), F.lit(0)).alias("g"),
+        lower = large.where(f"length(rf) >= {size} * (b - m)").select(
+            F.xxhash64("g", F.expr(f"substring(rf, 1, {size} * (b - m))"), F.lit(0)).alias("g"),
             "a",
             F.col("m").alias("b"),
             "row",
             "pos",
             "need",
-            F.expr("case when length(lf) <= m - a then lf else substring(lf, length(lf) - (m - a) + 1, m - a) end").alias("lf"),
-            F.expr("substring(rf, b - m + 1, length(rf))").alias("rf"),
+            F.expr(f"case when length(lf) <= {size} * (m - a) then lf else substring(lf, length(lf) - {size} * (m - a) + 1, {size} * (m - a)) end").alias("lf"),
+            F.expr(f"substring(rf, {size} * (b - m) + 1, length(rf))").alias("rf"),
         )
-        upper = large.where((F.length("lf") >= F.col("m") + 1 - F.col("a")) & (F.col("m") < F.col("b"))).select(
-            F.xxhash64("g", F.expr("substring(lf, length(lf) - (m - a), m + 1 - a)"), F.lit(1)).alias("g"),
+        upper = large.where(f"length(lf) >= {size} * (m + 1 - a) and m < b").select(
+            F.xxhash64("g", F.expr(f"substring(lf, length(lf) - {size} * (m + 1 - a) + 1, {size} * (m + 1 - a))"), F.lit(1)).alias("g"),
             (F.col("m") + 1).alias("a"),
             "b",
             "row",
             "pos",
             "need",
-            F.expr("substring(lf, 1, length(lf) - (m + 1 - a))").alias("lf"),
-            F.expr("case when length(rf) <= b - m - 1 then rf else substring(rf, 1, b - m - 1) end").alias("rf"),
+            F.expr(f"substring(lf, 1, length(lf) - {size} * (m + 1 - a))").alias("lf"),
+            F.expr(f"case when length(rf) <= {size} * (b - m - 1) then rf else substring(rf, 1, {size} * (b - m - 1)) end").alias("rf"),
         )
         items = scratch.keep(lower.unionByName(upper), "halved")
     out = spans[0]
@@ -408,17 +427,16 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def repeated_words(spark: SparkSession, docs: DataFrame, words: int, index_bytes: int = INDEX_BYTES) -> DataFrame:
+def repeated_words(spark: SparkSession, docs: DataFrame, words: int, most: int = INDEX_WORDS) -> DataFrame:
     """docs: (row long unique, text) -> (row, lo, hi): spans of words whose union is all passages of ``words`` words that repeat."""
-    spans = repeated_spans(spark, docs, CODE * words, min(CODES, CODE * words // 2), index_bytes, word_codes)
-    # codes beside a passage may begin or end alike: only whole ones count
-    return spans.select("row", F.ceil(F.col("lo") / CODE).alias("lo"), F.floor(F.col("hi") / CODE).alias("hi"))
+    return repeated_spans(spark, docs, words, min(GRAM_WORDS, words // 2), most, word_codes, CODE)
 
 
 def suffix_dedup(
-    spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES, digest: bool = False, with_text: bool = False, words: int = 0
+    spark: SparkSession, docs: DataFrame, length: int = 400, gram: int = GRAM, index_bytes: int = INDEX_BYTES, digest: bool = False, with_text: bool = False, words: int = 0, index_words: int = INDEX_WORDS
 ) -> DataFrame:
-    """Remove what repeats: strings of ``length`` bytes and, if given, passages of ``words`` words.  With ``digest``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, text; else the
+    """Remove what repeats: strings of ``length`` bytes and, if given, passages of ``words`` words.  With ``digest``: doc_id and, of the
+    strings alone, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (what is left by them) and text (what is left by both); else the
     input's columns plus n_removed.  ``text`` is what is left of the text (bytes that a cut inside a letter leaves over are dropped)."""
     from .common import hidden
     from .line_dedup import SLICE, with_rows
@@ -432,36 +450,46 @@ def suffix_dedup(
     if words:  # one index at a time: the tables of the first go before the second is made
         spans = scratch.keep(spans, "spans")
         first.clear()
-        spans = spans.unionByName(repeated_words(spark, rows, words, index_bytes).withColumn("words", F.lit(True)))
+        spans = spans.unionByName(repeated_words(spark, rows, words, index_words).withColumn("words", F.lit(True)))
     by_row = spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi", "words")).alias("__spans"))
     joined = numbered.join(by_row.hint("shuffle_hash"), "row", "left").select(*[F.col(c).cast("string") if c == "text" else c for c in own], "__spans")
     at = own.index("text")
 
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept", "text"] * with_text]
+
+    def left(raw: bytes, gone: list[tuple[int, int]]) -> list[bytes]:
+        edges = [0, *(x for span in gone for x in span), len(raw)]
+        return [raw[lo:hi] for lo, hi in zip(edges[::2], edges[1::2], strict=True)]
+
+    def whole_letters(kept: list[bytes]) -> str:
+        return "".join(k.decode("utf-8", "ignore") for k in kept)
+
     def cut(batches):
         for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
-            out: list[list] = [[], [], [], [], []]
+            out: dict[str, list] = {k: [] for k in ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text"]}
             for text, spans in zip(b.column(at).to_pylist(), b.column(len(own)).to_pylist(), strict=True):
                 raw = (text or "").encode()
-                gone = merge(in_bytes(raw, spans or []))
-                kept, last = [], 0
-                for lo, hi in gone:
-                    kept.append(raw[last:lo])
-                    last = hi
-                kept.append(raw[last:])
-                rest = b"".join(kept)
-                values = (len(raw), len(raw) - len(rest), len(gone), hashlib.sha256(rest).hexdigest(), None if text is None else b"".join([k.decode("utf-8", "ignore").encode() for k in kept]).decode())
-                for col, v in zip(out, values, strict=True):
-                    col.append(v)
+                both = merge(in_bytes(raw, spans or []))
+                gone = merge([(x["lo"], x["hi"]) for x in spans or [] if not x["words"]]) if digest else both
+                kept = left(raw, gone)
+                out["n_bytes"].append(len(raw))
+                out["n_removed"].append(sum(hi - lo for lo, hi in gone))
+                out["n_spans"].append(len(gone))
+                if digest:
+                    out["kept_sha256"].append(hashlib.sha256(b"".join(kept)).hexdigest())
+                if digest and with_text:
+                    out["kept"].append(None if text is None else whole_letters(kept))
+                if with_text or not digest:
+                    out["text"].append(None if text is None else out["kept"][-1] if digest and gone == both else whole_letters(left(raw, both)))
+            made = {k: pa.array(v, pa.int64() if k.startswith("n_") else pa.string()) for k, v in out.items()}
             if digest:
-                cols = [b.column(own.index("doc_id")).cast(pa.int64()), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string()), pa.array(out[4], pa.string())]
-                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
-                yield pa.RecordBatch.from_arrays(cols if with_text else cols[:5], names if with_text else names[:5])
+                yield pa.RecordBatch.from_arrays([b.column(own.index("doc_id")).cast(pa.int64()), *(made[k] for k in names)], ["doc_id", *names])
             else:
                 cols = list(b.columns[: len(own)])
-                cols[at] = pa.array(out[4], pa.string())
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(out[1], pa.int64())], [*own, "n_removed"])
+                cols[at] = made["text"]
+                yield pa.RecordBatch.from_arrays([*cols, made["n_removed"]], [*own, "n_removed"])
 
     if digest:
-        return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
+        return joined.mapInArrow(cut, "doc_id long, " + ", ".join(f"{k} {'long' if k.startswith('n_') else 'string'}" for k in names))
     schema = inner.withColumn("text", F.col("text").cast("string")).schema.add("n_removed", "long")
     return joined.mapInArrow(cut, schema).toDF(*named.columns, "n_removed")

@@ -148,3 +148,34 @@ def test_pipeline_stage_finds_short_passages(spark, tmp_path):
     got = {r["doc_id"]: r["text"] for r in out}
     assert got == {d: t.replace(long, "") for d, t, *_ in docs}
     assert all(r["n_chars"] == len(r["text"]) for r in out)
+
+
+def test_query_finds_short_passages(spark, tmp_path):
+    """The query's text loses passages of over 50 words below 400 bytes; the contract's columns stay those of 400-byte strings."""
+    from lexmill.llm.queries import op2_suffix_dedup
+
+    rng = random.Random(11)
+    text = lambda n: " ".join(rng.choice("abcdefghijklmnopq") + str(rng.randrange(999)) for _ in range(n))
+    short, few, long = text(51), text(50), text(120)
+    assert len(short) < 400 < len(long)
+    docs = [(i, f"{text(30)} start{i} {p} end{i} {text(30)}") for i, p in enumerate([short] * 3 + [few] * 3 + [long, long, text(60)])] + [(9, None), (10, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op2_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert sorted((tuple(r)[:5] for r in got.values()), key=str) == brute(docs, 400)
+    assert [got[d]["kept"] for d, _ in docs] == brute_kept(docs, 400)
+    # strings that repeat hold what stands around a passage, too
+    assert {d: r["text"] for d, r in got.items()} == {d: t and t.replace(short, "").replace(f" {long} end", "") for d, t in docs}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_words_in_small_indexes(spark, seed):
+    """Groups of more words than an index holds are split."""
+    rng = random.Random(seed)
+    passage = [rng.choice("abcdefgh") for _ in range(25)]
+    docs = []
+    for i in range(150):
+        of = [rng.choice("abcdefgh") for _ in range(rng.randrange(15))] + passage[rng.randrange(12) : rng.randrange(13, 26)] + [rng.choice("abcdefgh") for _ in range(rng.randrange(15))]
+        docs.append((i, " ".join(of)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = suffix_dedup(spark, df, length=100_000, words=10, index_words=40).collect()
+    assert [r["text"] for r in sorted(got, key=lambda r: r["doc_id"])] == brute_words(docs, 10)
