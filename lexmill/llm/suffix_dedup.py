@@ -29,7 +29,6 @@ written anew; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable
 
 import numpy as np
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, shuffle_partitions
-from .shingles import buffers, chunks, mix, units
+from .shingles import _SPACE, buffers, chunks, mix, units
 
 _U = np.uint64
 GRAM = 24
@@ -54,7 +53,6 @@ FLANK_ROWS = 500
 SEGMENT = 1 << 22
 #: Bytes of a word's code, and words of an anchor.
 CODE, GRAM_WORDS = 6, 12
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Low bits of a sort key that hold the place (texts below 2 GB).
 _PLACES = np.uint64(31)
 _BASE = 0x9E3779B97F4A7C55
@@ -176,10 +174,16 @@ def ranked(raw: bytes, size: int) -> tuple[np.ndarray, int]:
     return rank.astype(np.int64), len(found)
 
 
-def in_bytes(raw: bytes, spans: list[dict]) -> list[tuple[int, int]]:
-    """Spans of a text in bytes; some count its words."""
-    at = [m.span() for m in _WORD.finditer(raw)] if any(x["words"] for x in spans) else []
-    return [(at[x["lo"]][0], at[x["hi"] - 1][1]) if x["words"] else (x["lo"], x["hi"]) for x in spans]
+def in_bytes(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of a text's words in bytes."""
+    if not spans:
+        return []
+    word = np.zeros(len(raw) + 2, np.int8)
+    word[1:-1] = ~_SPACE[np.frombuffer(raw, np.uint8)]
+    turn = np.diff(word)
+    first, end = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+    lo, hi = np.array(spans).T
+    return list(zip(first[lo].tolist(), end[hi - 1].tolist(), strict=True))
 
 
 class RunIndex:
@@ -188,38 +192,38 @@ class RunIndex:
     def __init__(self, text: np.ndarray):
         n = len(text)
         self.text, self.n = text, n
-        rank = text.astype(np.int64)
-        self.levels, self.steps = [rank.astype(np.int32)], [1]
-        step = 1
+        self.levels, self.steps = [text.astype(np.int32)], [1]
+        rank, step = text.astype(np.int64), 1
         bits = int(rank.max() + 1).bit_length()
         if n > 4 and 4 * bits <= 62:  # four symbols at once
             key = np.zeros(n + 3, np.int64)
             key[:n] = rank + 1
             key = (((key[:n] << bits | key[1 : n + 1]) << bits | key[2 : n + 2]) << bits) | key[3 : n + 3]
-            order = np.argsort(key)
-            key = key[order]
-            fresh = np.zeros(n, np.int64)
-            np.cumsum(key[1:] != key[:-1], out=fresh[1:])
-            rank = np.empty(n, np.int64)
-            rank[order] = fresh
             step = 4
-            self.levels.append(rank.astype(np.int32))
-            self.steps.append(step)
+        else:
+            key = rank
+        # a rank is the place where its suffixes begin in the order, so suffixes that are alone keep theirs and later rounds sort the rest
+        order, rank, live = np.arange(n), np.empty(n, np.int64), np.arange(n)
         while True:
-            key = rank * (n + 1)
-            key[: n - step] += rank[step:] + 1
-            order = np.argsort(key)
-            sorted_key = key[order]
-            fresh = np.empty(n, np.int64)
-            fresh[0] = 0
-            np.cumsum(sorted_key[1:] != sorted_key[:-1], out=fresh[1:])
-            rank = np.empty(n, np.int64)
-            rank[order] = fresh
-            step *= 2
-            if fresh[-1] == n - 1 or step >= n:
+            by = np.argsort(key)
+            key = key[by]
+            moved = order[live][by]
+            order[live] = moved
+            head = np.ones(len(live), bool)
+            np.not_equal(key[1:], key[:-1], out=head[1:])
+            rank[moved] = np.maximum.accumulate(np.where(head, live, 0))
+            live = live[~(head & np.append(head[1:], True))]
+            if not len(live) or step >= n:
                 break
-            self.levels.append(rank.astype(np.int32))
-            self.steps.append(step)
+            if step > 1:
+                self.levels.append(rank.astype(np.int32))
+                self.steps.append(step)
+            at = order[live]
+            ahead = at + step
+            key = rank[at] * (n + 1)
+            inner = ahead < n
+            key[inner] += rank[ahead[inner]] + 1
+            step *= 2
         self.suffixes = order
         bwt = text[order - 1]
         edge = np.flatnonzero(bwt[1:] != bwt[:-1]) + 1
@@ -469,8 +473,10 @@ def suffix_dedup(
             out: dict[str, list] = {k: [] for k in ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text"]}
             for text, spans in zip(b.column(at).to_pylist(), b.column(len(own)).to_pylist(), strict=True):
                 raw = (text or "").encode()
-                both = merge(in_bytes(raw, spans or []))
-                gone = merge([(x["lo"], x["hi"]) for x in spans or [] if not x["words"]]) if digest else both
+                of = [[(x["lo"], x["hi"]) for x in spans or [] if x["words"] == w] for w in (False, True)]
+                gone = merge(of[0])
+                both = merge(gone + in_bytes(raw, of[1])) if of[1] else gone
+                gone = gone if digest else both
                 kept = left(raw, gone)
                 out["n_bytes"].append(len(raw))
                 out["n_removed"].append(sum(hi - lo for lo, hi in gone))
